@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..tables import table
-from . import bpe, rules, tokens, toxicity
+from . import bpe, rules, tokens, toxicity, warc
 
 
 def _vocabulary(name: str) -> str:
@@ -30,6 +30,10 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
@@ -39,6 +43,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_token_counts": token_counts,
         "op2_toxicity": toxicity_scores,
         "op3_bpe_round_trip": bpe_round_trip,
+        "op5_warc_round_trip": warc_round_trip,
         "op7_quality_rules": quality_rules,
     }
 
