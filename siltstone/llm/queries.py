@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..tables import table
-from . import bpe, rules, tokens, toxicity, warc
+from . import bpe, rules, secrets, tokens, toxicity, warc
 
 
 def _vocabulary(name: str) -> str:
@@ -38,6 +38,10 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_secrets(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": token_counts,
@@ -45,6 +49,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_bpe_round_trip": bpe_round_trip,
         "op5_warc_round_trip": warc_round_trip,
         "op7_quality_rules": quality_rules,
+        "op8_secret_scans": secret_scans,
     }
 
 
