@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..tables import table
-from . import bpe, rules, secrets, tokens, toxicity, warc
+from . import bpe, lm, rules, secrets, tokens, toxicity, warc
 
 
 def _vocabulary(name: str) -> str:
@@ -42,6 +42,10 @@ def secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_texts(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": token_counts,
@@ -50,6 +54,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_warc_round_trip": warc_round_trip,
         "op7_quality_rules": quality_rules,
         "op8_secret_scans": secret_scans,
+        "op10_lm_scores": lm_scores,
     }
 
 
