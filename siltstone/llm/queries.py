@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..tables import table
-from . import bpe, lm, rules, secrets, tokens, toxicity, warc
+from . import bpe, jaccard, lm, rules, secrets, tokens, toxicity, warc
 
 
 def _vocabulary(name: str) -> str:
@@ -30,6 +30,10 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
@@ -51,6 +55,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_token_counts": token_counts,
         "op2_toxicity": toxicity_scores,
         "op3_bpe_round_trip": bpe_round_trip,
+        "op4_ngram_jaccard_join": ngram_jaccard_join,
         "op5_warc_round_trip": warc_round_trip,
         "op7_quality_rules": quality_rules,
         "op8_secret_scans": secret_scans,
