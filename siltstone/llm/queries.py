@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..tables import table
-from . import bpe, jaccard, lm, rules, secrets, tokens, toxicity, warc
+from . import bpe, decontam, jaccard, lm, rules, secrets, tokens, toxicity, warc
 
 
 def _vocabulary(name: str) -> str:
@@ -34,6 +34,10 @@ def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
@@ -57,6 +61,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_bpe_round_trip": bpe_round_trip,
         "op4_ngram_jaccard_join": ngram_jaccard_join,
         "op5_warc_round_trip": warc_round_trip,
+        "op6_benchmark_decontamination": benchmark_decontamination,
         "op7_quality_rules": quality_rules,
         "op8_secret_scans": secret_scans,
         "op10_lm_scores": lm_scores,

@@ -41,6 +41,11 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
+#: White space and ASCII punctuation: what lies between words in the sense of a dictionary.
+PUNCTUATION = _SPACE.copy()
+PUNCTUATION[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
+
+
 @dataclass
 class Words:
     """Words of the texts first .. first + n - 1 of a batch: their doc (from 0), byte range in `data`, hash."""
@@ -75,9 +80,9 @@ def buffers(column) -> tuple[np.ndarray, np.ndarray]:
     return data, offs - offs[0]
 
 
-def _hashed(data: np.ndarray, begins: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _hashed(data: np.ndarray, begins: np.ndarray, lower: bool, space: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and hash of the words of `data`; a text begins at each of `begins`."""
-    word = ~_SPACE[data]
+    word = ~space[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[begins] = True
     left = np.concatenate([[False], word[:-1]])
@@ -91,22 +96,22 @@ def _hashed(data: np.ndarray, begins: np.ndarray, lower: bool) -> tuple[np.ndarr
     return start, end, mix(h ^ (end - start).astype(np.uint64))
 
 
-def _long(data: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _long(data: np.ndarray, lower: bool, space: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """As _hashed for one text of any length, a slice at a time; a slice ends at white space."""
     parts, at = [], 0
     while at < len(data):
         to = min(at + SLICE, len(data))
-        while to < len(data) and not _SPACE[data[to]]:
-            gap = np.flatnonzero(_SPACE[data[to : to + SLICE]])
+        while to < len(data) and not space[data[to]]:
+            gap = np.flatnonzero(space[data[to : to + SLICE]])
             to = to + int(gap[0]) if len(gap) else min(to + SLICE, len(data))
-        s, e, h = _hashed(data[at:to], np.zeros(1, np.int64), lower)
+        s, e, h = _hashed(data[at:to], np.zeros(1, np.int64), lower, space)
         parts.append((s + at, e + at, h))
         at = to
     return tuple(np.concatenate(x) for x in zip(*parts))  # type: ignore[return-value]
 
 
-def words(column, lower: bool = False) -> Iterator[Words]:
-    """The words of an Arrow string column, in groups of whole texts of about SLICE bytes."""
+def words(column, lower: bool = False, space: np.ndarray = _SPACE) -> Iterator[Words]:
+    """The words of an Arrow string column, in groups of whole texts of about SLICE bytes. space: the bytes between words."""
     data, offs = buffers(column)
     n, at = len(offs) - 1, 0
     while at < n:
@@ -116,9 +121,9 @@ def words(column, lower: bool = False) -> Iterator[Words]:
             start = end = np.zeros(0, np.int64)
             h = np.zeros(0, np.uint64)
         elif len(part) > SLICE:
-            start, end, h = _long(part, lower)
+            start, end, h = _long(part, lower, space)
         else:
-            start, end, h = _hashed(part, begins, lower)
+            start, end, h = _hashed(part, begins, lower, space)
         yield Words(at, to - at, part, begins, np.searchsorted(begins[1:], start, "right"), start, end, h)
         at = to
 
