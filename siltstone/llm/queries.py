@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..tables import table
-from . import bpe, decontam, jaccard, lm, rules, secrets, tokens, toxicity, warc
+from . import bpe, cotrain, decontam, jaccard, lm, rules, secrets, tokens, toxicity, warc
 
 
 def _vocabulary(name: str) -> str:
@@ -50,6 +50,10 @@ def secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotrain.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_texts(table(spark, sf_dir, "documents"))
 
@@ -64,6 +68,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_benchmark_decontamination": benchmark_decontamination,
         "op7_quality_rules": quality_rules,
         "op8_secret_scans": secret_scans,
+        "op9_quality_classifier": quality_classifier,
         "op10_lm_scores": lm_scores,
     }
 
