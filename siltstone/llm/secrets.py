@@ -94,7 +94,17 @@ def linked(spans: DataFrame, scope: int = 300) -> DataFrame:
 
 
 def _joined(rows: Column) -> Column:
-    return F.array_join(F.transform(F.array_sort(rows), lambda x: F.concat_ws(":", F.element_at(F.array(*map(F.lit, KINDS)), x["rank"].cast("int")), x["start"].cast("string"), x["end"].cast("string"))), ",")
+    """kind:start:end of sorted spans, comma-joined."""
+    return F.array_join(F.transform(rows, lambda x: F.concat_ws(":", F.element_at(F.array(*map(F.lit, KINDS)), x["rank"].cast("int")), x["start"].cast("string"), x["end"].cast("string"))), ",")
+
+
+def _per_text(parts: DataFrame, scope: int) -> DataFrame:
+    """_k (key of a text), _s and _b: its spans (start, rank, end), all and base ones."""
+    spans = stored(spans_of(parts), "spans")
+    all_spans = spans.where(F.col("kind").isin(list(BASE))).unionByName(linked(spans, scope))
+    packed = F.struct(F.col("start").cast("long").alias("start"), _rank(F.col("kind")).alias("rank"), F.col("end").cast("long").alias("end"))
+    per_text = all_spans.groupBy(F.col("_key").alias("_k")).agg(F.array_sort(F.collect_list(packed)).alias("_s"))
+    return per_text.select("_k", "_s", F.filter("_s", lambda x: x["rank"] <= len(BASE)).alias("_b"))
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope: int = 300) -> DataFrame:
@@ -105,11 +115,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     are read, so other columns may have any name.
     """
     parts = stored(find_parts(docs, text_col, id_col), "parts")
-    spans = stored(spans_of(parts), "spans")
-    all_spans = spans.where(F.col("kind").isin(list(BASE))).unionByName(linked(spans, scope))
-    packed = F.struct(F.col("start").cast("long").alias("start"), _rank(F.col("kind")).alias("rank"), F.col("end").cast("long").alias("end"))
-    per_text = all_spans.groupBy(F.col("_key").alias("_k")).agg(F.collect_list(packed).alias("_s"))
-    per_text = per_text.select("_k", "_s", F.filter("_s", lambda x: x["rank"] <= len(BASE)).alias("_b"))
+    per_text = _per_text(parts, scope)
     result = per_text.select(
         "_k",
         *(F.expr(f"cast(size(filter(_b, x -> x.rank = {i})) as long)").alias(f"n_{k}") for i, k in enumerate(BASE, 1)),
@@ -123,3 +129,34 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.coalesce("base_sha256", F.sha2(F.lit(""), 256)).alias("base_sha256"),
         F.coalesce("spans", F.lit("")).alias("spans"),
     )
+
+
+#: Most bytes of spans (about 80 each with its digest) that are broadcast to the texts; more are joined by a shuffle.
+BROADCAST_BYTES = 16 << 20
+
+
+def redact_secrets(docs: DataFrame, text_col: str = "text", scope: int = 300, mark: str = "[secret]") -> DataFrame:
+    """The rows with every span of scan_secrets, overlapping ones as one, replaced by a mark; all else stays as it is.
+
+    Spans are found once for each text and joined by its digest, so repeated rows and null ids need no care. Null and
+    empty texts stay. A column n_chars of the table is set anew where the text changes.
+    """
+    parts = stored(find_parts(docs.select(text_col).withColumn("_none", F.lit(None).cast("long")), text_col, "_none").where(F.size("_hits") > 0), "parts")
+    merged = F.aggregate(
+        "_s",
+        F.array().cast("array<struct<start: bigint, end: bigint>>"),
+        lambda done, x: F.when(
+            (F.size(done) > 0) & (F.element_at(done, -1)["end"] > x["start"]),
+            F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.struct(F.element_at(done, -1)["start"].alias("start"), F.greatest(F.element_at(done, -1)["end"], x["end"]).alias("end")))),
+        ).otherwise(F.concat(done, F.array(F.struct(x["start"].alias("start"), x["end"].alias("end"))))),
+    )
+    found = stored(_per_text(parts, scope).select(F.col("_k").alias("_digest"), F.when(F.size("_s") > 0, merged).alias("_cut")), "cuts")
+    room = found.agg(F.count("*") + F.coalesce(F.sum(F.size("_cut")), F.lit(0))).first()[0]
+    text = F.col(text_col)
+    rows = docs.withColumn("_of", F.sha2(F.coalesce(text, F.lit("")), 256)).join(F.broadcast(found) if room * 80 <= BROADCAST_BYTES else found, F.col("_of") == F.col("_digest"), "left")
+    pieces = F.expr(f"transform(_cut, (x, i) -> substring(`{text_col}`, cast(if(i = 0, 0, _cut[i - 1].end) + 1 as int), cast(x.start - if(i = 0, 0, _cut[i - 1].end) as int)))")
+    rest = F.expr(f"substring(`{text_col}`, cast(element_at(_cut, -1).end + 1 as int))")
+    clean = F.concat(F.array_join(F.transform(pieces, lambda x: F.concat(x, F.lit(mark))), ""), rest)
+    changed = F.col("_cut").isNotNull()
+    out = rows.withColumn("_new", F.when(changed, clean).otherwise(text))
+    return out.select(*(F.when(changed, F.length("_new").cast(f.dataType)).otherwise(F.col(f.name)).alias(f.name) if f.name == "n_chars" else (F.col("_new").alias(f.name) if f.name == text_col else F.col(f.name)) for f in docs.schema))
