@@ -2,12 +2,24 @@
 
 from __future__ import annotations
 
+from importlib import import_module
+
 FLAGSHIP = "resolution"
+_GROUPS = ("entities",)
+
+
+def _gathered(what: str) -> dict:
+    out: dict = {}
+    for name in _GROUPS:
+        out |= getattr(import_module(f".plans.{name}", __package__), what)
+    return out
 
 
 def queries() -> dict:
-    return {}
+    """name -> function of (spark, sf_dir)."""
+    return _gathered("QUERIES")
 
 
-def oracle_sql() -> dict:
-    return {}
+def oracle_sql() -> dict[str, str]:
+    """name -> DuckDB SQL with the same rows."""
+    return _gathered("SQL")
