@@ -50,7 +50,14 @@ def shingle_sets(column, k: int = 5) -> Iterator[np.ndarray]:
 
 
 def point(shingles: np.ndarray) -> np.ndarray:
-    return np.bincount((shingles >> np.uint64(58)).astype(np.int64), minlength=GROUPS).astype(np.uint32)
+    """Counts by group. A long text has more groups, an eighth of its shingles at least; each splits one of the coarser point."""
+    bits = max(6, int(len(shingles)).bit_length() - 3)
+    return np.bincount((shingles >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits).astype(np.uint16)
+
+
+def coarse(fine: np.ndarray, groups: int = GROUPS) -> np.ndarray:
+    """A point with fewer groups."""
+    return fine.reshape(groups, -1).sum(1) if len(fine) > groups else fine
 
 
 def _name(shingles: np.ndarray) -> int:
@@ -67,7 +74,7 @@ def linked(common: int, n: int, m: int, t: int) -> bool:
     return 100 * common >= t * (n + m - common)
 
 
-_ROWS = [("n", pa.int64()), ("cls", pa.int64()), ("vec", pa.binary()), ("hash", pa.int64()), ("often", pa.int64())]
+_ROWS = [("n", pa.int64()), ("cls", pa.int64()), ("point", pa.binary()), ("vec", pa.binary()), ("hash", pa.int64()), ("often", pa.int64())]
 
 
 def _rows(k: int):
@@ -86,12 +93,13 @@ def _rows(k: int):
 
         for batch in batches:
             kind = batch.schema.field(0).type
-            n, name, vec = [], [], []
+            n, name, vec, low = [], [], [], []
             for s in shingle_sets(batch.column(1), k):
-                c = _name(s)
+                c, fine = _name(s), point(s)
                 n.append(len(s))
                 name.append(c)
-                vec.append(point(s).tobytes() if len(s) else None)
+                vec.append(fine.tobytes() if len(s) else None)
+                low.append(coarse(fine).astype(np.uint16).tobytes() if len(s) else None)
                 if len(s) and c not in seen:
                     seen.add(c)
                     pending.append(s)
@@ -99,13 +107,13 @@ def _rows(k: int):
                     if width > 2_000_000:
                         keys, counts = fold(keys, counts)
                         pending, width = [], 0
-            cols = [batch.column(0), pa.array(n, pa.int64()), pa.array(name, pa.int64()), pa.array(vec, pa.binary()), batch.column(2), pa.nulls(len(n), pa.int64())]
+            cols = [batch.column(0), pa.array(n, pa.int64()), pa.array(name, pa.int64()), pa.array(low, pa.binary()), pa.array(vec, pa.binary()), batch.column(2), pa.nulls(len(n), pa.int64())]
             yield pa.RecordBatch.from_arrays(cols, ["_id", *(c for c, _ in _ROWS)])
         keys, counts = fold(keys, counts)
         often = counts >= max(8, SHARE * len(seen))
         if often.any():
             m = int(often.sum())
-            cols = [pa.nulls(m, kind), pa.nulls(m, pa.int64()), pa.array(keys[often].view(np.int64)), pa.nulls(m, pa.binary()), pa.nulls(m, pa.int64()), pa.array(counts[often])]
+            cols = [pa.nulls(m, kind), pa.nulls(m, pa.int64()), pa.array(keys[often].view(np.int64)), pa.nulls(m, pa.binary()), pa.nulls(m, pa.binary()), pa.nulls(m, pa.int64()), pa.array(counts[often])]
             yield pa.RecordBatch.from_arrays(cols, ["_id", *(c for c, _ in _ROWS)])
 
     return run
@@ -244,7 +252,7 @@ class CountTree:
 
 
 def _points(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, GROUPS)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, GROUPS)
 
 
 def _tree_join(t: int):
@@ -253,7 +261,7 @@ def _tree_join(t: int):
     def cells(table: pa.Table) -> Iterator[pa.RecordBatch]:
         key = np.stack([table.column(c).to_numpy() for c in ("key", "s1", "s2")])
         name, code, comp, salt = (table.column(c).to_numpy() for c in ("cls", "code", "component", "salt"))
-        vec, n, role = _points(table.column("vec")).astype(np.int32), code >> 1, code & 1
+        vec, n, role = _points(table.column("point")).astype(np.int32), code >> 1, code & 1
         begins = np.flatnonzero(np.concatenate([[True], (key[:, 1:] != key[:, :-1]).any(0)]))
         length = np.diff(np.append(begins, len(name)))
         cell = np.repeat(np.arange(len(begins)), length)
@@ -359,9 +367,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark, t = docs.sparkSession, percent
     source = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text")).withColumn("_hash", F.xxhash64("_text"))
     kind = source.schema["_id"].dataType.simpleString()
-    measured = stored(source.mapInArrow(_rows(k), f"_id {kind}, n long, cls long, vec binary, hash long, often long"), "rows")
+    measured = stored(source.mapInArrow(_rows(k), f"_id {kind}, n long, cls long, point binary, vec binary, hash long, often long"), "rows")
     rows = measured.where("n is not null").select("_id", "n", "cls")
-    classes = stored(measured.where("n > 0").groupBy("cls").agg(F.min("_id").alias("rep"), F.min("n").alias("n"), F.min("hash").alias("hash"), F.first("vec").alias("vec")), "classes")
+    classes = stored(measured.where("n > 0").groupBy("cls").agg(F.min("_id").alias("rep"), F.min("n").alias("n"), F.min("hash").alias("hash"), F.first("point").alias("point"), F.first("vec").alias("vec")), "classes")
     frequent = spark.sparkContext.broadcast(_frequent(measured, classes.count()))
 
     postings = source.select("_text").mapInArrow(_postings(k, t, frequent), "key long, cls long, code long")
@@ -375,11 +383,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     labels = _maybe_broadcast(known)
     marked = filed.join(labels, filed["cls"] == known["node"], "left").select("key", "cls", "code", F.coalesce("component", "cls").alias("component"))
     mixed = stored(marked.groupBy("key").agg(F.count("*").alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key", F.ceil(F.col("size") / TILE).cast("int").alias("tiles")), "mixed")
-    open_ = marked.join(_maybe_broadcast(mixed), "key").join(classes.select("cls", "vec"), "cls")
+    open_ = marked.join(_maybe_broadcast(mixed), "key").join(classes.select("cls", "point"), "cls")
     open_ = open_.withColumn("salt", F.pmod(F.xxhash64("cls"), F.col("tiles")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    open_ = open_.select("key", F.least("salt", "other").alias("s1"), F.greatest("salt", "other").alias("s2"), "salt", "cls", "code", "component", "vec")
+    open_ = open_.select("key", F.least("salt", "other").alias("s1"), F.greatest("salt", "other").alias("s2"), "salt", "cls", "code", "component", "point")
     more = open_.repartition("key", "s1", "s2").sortWithinPartitions("key", "s1", "s2", F.col("code").bitwiseAND(-2), "cls").mapInArrow(_tree_join(t), "a long, b long").distinct()
-    late = _links(source, classes, stored(more, "pairs"), k, t)
+    late = _links(source, classes, stored(_bounded(more, classes, t), "pairs"), k, t)
     final = components(known.select(F.col("node").alias("a"), F.col("component").alias("b")).union(late))
 
     in_class = classes.select("cls", "rep").join(final, classes["cls"] == final["node"], "left").select("cls", "rep", F.coalesce("component", "cls").alias("component"))
@@ -401,12 +409,16 @@ def _frequent(measured: DataFrame, n_classes: int) -> np.ndarray:
 
 
 def _bounded(pairs: DataFrame, classes: DataFrame, t: int) -> DataFrame:
-    """The pairs whose points allow the threshold."""
+    """The pairs whose points, in as many groups as both have, allow the threshold."""
     left, right = (classes.select(F.col("cls").alias(c), F.col("n").alias(f"n_{c}"), F.col("vec").alias(f"vec_{c}")) for c in ("a", "b"))
 
     def keep(batch: pa.RecordBatch) -> pa.RecordBatch:
-        n, m = batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()
-        bound = np.minimum(_points(batch.column("vec_a")), _points(batch.column("vec_b"))).sum(1)
-        return batch.select(["a", "b"]).filter(pa.array(bound >= need(n, m, t)))
+        least = need(batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy(), t)
+        good = []
+        for a, b, enough in zip(batch.column("vec_a"), batch.column("vec_b"), least):
+            a, b = np.frombuffer(a.as_py(), np.uint16), np.frombuffer(b.as_py(), np.uint16)
+            groups = min(len(a), len(b))
+            good.append(int(np.minimum(coarse(a, groups), coarse(b, groups)).sum()) >= enough)
+        return batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     return arrow_map(pairs.join(left, "a").join(right, "b"), keep, "a long, b long")
