@@ -4,6 +4,7 @@
 2. Passages of PASSAGE words give document frequencies and, with the benchmark's own items, a TF-IDF matrix. A randomised
    SVD (a Gaussian sketch, one power iteration, a Rayleigh-Ritz step) finds its leading right singular vectors: executors
    add up the products of their passages, the driver only holds words times RANK numbers.
+   Only informative words count: those that are rare in the corpus, and the rarest of each item.
 3. Windows of each text are compared with the items by the cosine of their latent vectors.
 4. Candidates stay if the longest common subsequence holds enough of the item's words and its answer (the item's end) is
    found too, or if a long run of words is the same.
@@ -21,13 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import arrow_map, stored
-from .words import PUNCTUATION, words
+from .words import PUNCTUATION, buffers, words
 
 PASSAGE, RANK, OVERSAMPLE = 32, 256, 16
 #: Words of the windows that are compared, and the cosine of a candidate.
-WINDOWS, COSINE = (24, 64), 0.35
+WINDOWS, COSINE = (24, 64), 0.45
 #: A word in more than this part of the passages says nothing, unless an item would have less than LEAST others.
-COMMON, LEAST = 0.002, 8
+COMMON, LEAST = 0.0002, 8
 #: Items compared by one SVD, and items whose words are looked up in one scan of the texts.
 ITEMS, SCAN_ITEMS = 200, 20_000
 
@@ -55,34 +56,35 @@ def answer_of(item: np.ndarray) -> np.ndarray:
     return item[-max(3, len(item) // 4) :]
 
 
-def lcs(a: np.ndarray, b: np.ndarray) -> int:
-    """Length of the longest common subsequence, a row of the table at a time."""
-    row = np.zeros(len(b) + 1, np.int64)
-    for x in a:
-        row[1:] = np.maximum.accumulate(np.maximum(row[1:], row[:-1] + (b == x)))
-    return int(row[-1])
+def lcs(item: np.ndarray, texts: np.ndarray) -> np.ndarray:
+    """Length of the longest common subsequence of the item with each row of texts, a word of the item at a time."""
+    row = np.zeros((len(texts), texts.shape[1] + 1), np.int32)
+    for x in item:
+        row[:, 1:] = np.maximum.accumulate(np.maximum(row[:, 1:], row[:, :-1] + (texts == x)), axis=1)
+    return row[:, -1]
 
 
-def longest_run(a: np.ndarray, b: np.ndarray) -> int:
-    best, row = 0, np.zeros(len(b) + 1, np.int64)
-    for x in a:
-        row[1:] = np.where(b == x, row[:-1] + 1, 0)
-        best = max(best, int(row.max()))
+def longest_run(item: np.ndarray, texts: np.ndarray) -> np.ndarray:
+    """Most successive words of the item that stand so in each row of texts."""
+    best, row = np.zeros(len(texts), np.int32), np.zeros((len(texts), texts.shape[1] + 1), np.int32)
+    for x in item:
+        row[:, 1:] = np.where(texts == x, row[:, :-1] + 1, 0)
+        best = np.maximum(best, row.max(1))
     return best
 
 
-def judge(item: np.ndarray, text: np.ndarray, verdict: Verdict) -> tuple[float, float, int] | None:
-    """Share of the item and of its answer in the common subsequence, and the longest run; None: not the item."""
-    if not len(item):
-        return None
-    share, run = lcs(item, text) / len(item), 0
-    part = answer_of(item)
-    answer = lcs(part, text) / len(part)
-    if share >= verdict.lcs and answer >= verdict.answer:
-        return share, answer, longest_run(item, text)
-    if share * len(item) >= verdict.run:
-        run = longest_run(item, text)
-    return (share, answer, run) if run >= verdict.run else None
+def judge(item: np.ndarray, texts: np.ndarray, verdict: Verdict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For rows of texts: is it the item, shares of the item and of its answer in the common subsequence, longest run.
+
+    The answer and the run are worked out (else 0) only where the first share lets them matter.
+    """
+    common = lcs(item, texts)
+    share, answer, run = common / max(len(item), 1), np.zeros(len(texts)), np.zeros(len(texts), np.int32)
+    may = np.flatnonzero((share >= verdict.lcs) | (common >= verdict.run))
+    if len(item) and len(may):
+        part = answer_of(item)
+        answer[may], run[may] = lcs(part, texts[may]) / len(part), longest_run(item, texts[may])
+    return ((share >= verdict.lcs) & (answer >= verdict.answer)) | (run >= verdict.run), share, answer, run
 
 
 def _places(vocabulary):
@@ -102,22 +104,23 @@ def _places(vocabulary):
     return run
 
 
-def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _flat(batch: pa.RecordBatch, names: tuple[str, str] = ("place", "word")) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row, place and word of every hit of a batch."""
-    place, word = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.int32) for c in ("place", "word"))
-    length = pc.binary_length(batch.column("place")).to_numpy() // 4
+    place, word = (np.frombuffer(buffers(batch.column(c))[0], np.int32) for c in names)
+    length = pc.binary_length(batch.column(names[0])).to_numpy() // 4
     return np.repeat(np.arange(batch.num_rows), length), place, word
 
 
-def _passages(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (passage, word) with its count, in order of passage."""
-    row, place, word = _flat(batch)
-    key = (row.astype(np.int64) << 32 | place // PASSAGE) if len(row) else np.zeros(0, np.int64)
-    order = np.lexsort((word, key))
-    key, word = key[order], word[order]
-    new = np.concatenate([[True], (key[1:] != key[:-1]) | (word[1:] != word[:-1])]) if len(key) else np.zeros(0, bool)
-    begins = np.flatnonzero(new)
-    return key[begins], word[begins], np.diff(np.append(begins, len(key)))
+def _passages(batch: pa.RecordBatch, size: int, names: tuple[str, str] = ("place", "word")) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (passage, word) with its count, in order of passage. size: words of the vocabulary."""
+    row, place, word = _flat(batch, names)
+    if not len(row):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    passage = place // PASSAGE
+    number = np.concatenate([[0], np.cumsum((row[1:] != row[:-1]) | (passage[1:] != passage[:-1]))])
+    key = np.sort(number * size + word)
+    begins = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    return key[begins] // size, key[begins] % size, np.diff(np.append(begins, len(key)))
 
 
 def _frequencies(places: DataFrame, size: int) -> tuple[np.ndarray, int]:
@@ -126,7 +129,7 @@ def _frequencies(places: DataFrame, size: int) -> tuple[np.ndarray, int]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = np.zeros(size, np.int64)
         for batch in batches:
-            count += np.bincount(_passages(batch)[1], minlength=size)
+            count += np.bincount(_passages(batch, size)[1], minlength=size)
         some = np.flatnonzero(count)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(count[some])], ["word", "df"])
 
@@ -171,7 +174,7 @@ def _product(places: DataFrame, basis: np.ndarray, idf: np.ndarray, column: np.n
         basis, idf, column = held.value
         out = np.zeros(basis.shape, np.float32)
         for batch in batches:
-            _gram(_weighted(*_passages(batch), idf, column), basis, out)
+            _gram(_weighted(*_passages(batch, len(column), ("i_place", "i_word")), idf, column), basis, out)
         some = np.flatnonzero(np.abs(out).sum(1))
         for part in (some[i : i + 1024] for i in range(0, len(some), 1024)):
             yield pa.RecordBatch.from_arrays([pa.array(part), pa.array([out[i].tobytes() for i in part], pa.binary())], ["c", "x"])
@@ -183,7 +186,7 @@ def _product(places: DataFrame, basis: np.ndarray, idf: np.ndarray, column: np.n
         np.add.at(total, at, rows)
         return pa.table({"c": c, "x": pa.array([x.tobytes() for x in total], pa.binary())})
 
-    sums = places.select("place", "word").mapInArrow(run, "c long, x binary")
+    sums = places.select("i_place", "i_word").where("octet_length(i_place) > 0").mapInArrow(run, "c long, x binary")
     rows = sums.groupBy("c").applyInArrow(add, "c long, x binary").toArrow()
     out = np.zeros(basis.shape)
     if rows.num_rows:
@@ -201,27 +204,51 @@ def _items_matrix(items: list[np.ndarray], idf: np.ndarray, column: np.ndarray)
     return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
 
 
-def latent_space(places: DataFrame, items: list[np.ndarray], df: np.ndarray, passages: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For a block of items: column of each word (-1: not informative), idf by column, RANK singular vectors by column."""
+def informative(items: list[np.ndarray], df: np.ndarray, passages: int) -> tuple[np.ndarray, np.ndarray]:
+    """Inverse document frequency of each word, and its column in the matrix of a block of items (-1: none)."""
     idf = np.log((passages + len(items) + 1) / (df + 1.0)) + 1e-3
     column = np.full(len(df), -1, np.int64)
     for item in items:
         word = np.unique(item)
         rare = word[np.argsort(df[word], kind="stable")]
-        chosen = np.concatenate([rare[:LEAST], rare[df[rare] <= COMMON * passages]])
-        column[chosen] = 0
+        column[rare[:LEAST]] = 0
+        column[rare[df[rare] <= COMMON * passages]] = 0
     column[column == 0] = np.arange(int((column == 0).sum()))
+    return idf, column
+
+
+def _chosen(column):
+    """_id, n and the informative hits (i_place, i_word) of each text; all its hits too if a window can hold an item."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        row, place, word = _flat(batch)
+        good = np.flatnonzero(column.value[word] >= 0)
+        at = row[good].astype(np.int64) << 32 | place[good]
+        near = np.flatnonzero(np.searchsorted(at, at + max(WINDOWS)) - np.arange(len(at)) >= 3)
+        full = np.zeros(batch.num_rows, bool)
+        full[row[good[near]]] = True
+        cut = np.searchsorted(row[good], np.arange(batch.num_rows + 1))
+        pack = lambda x: pa.array([x[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary())
+        keep = pa.array(full)
+        some = lambda c: pc.if_else(keep, batch.column(c), pa.scalar(b"", pa.binary()))
+        return pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("n"), pack(place[good]), pack(word[good]), some("place"), some("word")], ["_id", "n", "i_place", "i_word", "place", "word"])
+
+    return run
+
+
+def latent_space(hits: DataFrame, items: list[np.ndarray], idf: np.ndarray, column: np.ndarray) -> np.ndarray:
+    """RANK singular vectors by column, scaled by idf: what a word adds to a latent vector."""
     size = int(column.max(initial=-1)) + 1
     by_column = np.zeros(size)
     by_column[column[column >= 0]] = idf[column >= 0]
     own = _items_matrix(items, idf, column)
     basis = np.random.default_rng(11).normal(size=(size, min(size, RANK + OVERSAMPLE)))
     for _ in range(2):
-        basis = np.linalg.qr(_product(places, basis, idf, column) + own.T @ (own @ basis))[0]
-    image = _product(places, basis, idf, column) + own.T @ (own @ basis)
+        basis = np.linalg.qr(_product(hits, basis, idf, column) + own.T @ (own @ basis))[0]
+    image = _product(hits, basis, idf, column) + own.T @ (own @ basis)
     energy, vectors = np.linalg.eigh((basis.T @ image + image.T @ basis) / 2)
     top = np.argsort(energy)[::-1][:RANK]
-    return column, by_column, basis @ vectors[:, top[energy[top] > 1e-9]]
+    return basis @ vectors[:, top[energy[top] > 1e-9]] * by_column[:, None]
 
 
 def _search(model, verdict: Verdict):
@@ -231,36 +258,42 @@ def _search(model, verdict: Verdict):
         items, numbers, column, loading, query = model.value
         row, place, word = _flat(batch)
         first = np.searchsorted(row, np.arange(batch.num_rows + 1))
-        good = np.flatnonzero(column[word] >= 0) if len(word) else np.zeros(0, np.int64)
-        best: dict[tuple[int, int], tuple[float, int]] = {}
-        at = row[good].astype(np.int64) << 32 | place[good]
+        i_row, i_place, i_word = _flat(batch, ("i_place", "i_word"))
+        at = i_row.astype(np.int64) << 32 | i_place
+        vectors = loading[column[i_word]]
+        found = [np.zeros((0, 4))]
         for width in WINDOWS:
             ends = np.searchsorted(at, at + width)
             starts = np.flatnonzero(ends - np.arange(len(at)) >= 3)
-            for lo in range(0, len(starts), 8192):
-                s = starts[lo : lo + 8192]
-                e = ends[s]
-                base = int(s[0])
-                total = np.zeros((int(e.max()) - base + 1, loading.shape[1]), np.float64)
-                np.cumsum(loading[column[word[good[base : int(e.max())]]]], axis=0, out=total[1:])
-                x = total[e - base] - total[s - base]
+            for s in (starts[lo : lo + 4096] for lo in range(0, len(starts), 4096)):
+                low, high = int(s[0]), int(ends[s[-1]])
+                total = np.zeros((high - low + 1, loading.shape[1]))
+                np.cumsum(vectors[low:high], axis=0, out=total[1:])
+                x = total[ends[s] - low] - total[s - low]
                 cosine = (x @ query) / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
-                for i, j in zip(*np.nonzero(cosine >= COSINE)):
-                    key = (int(row[good[s[i]]]), int(j))
-                    if key not in best or cosine[i, j] > best[key][0]:
-                        best[key] = (float(cosine[i, j]), int(place[good[s[i]]]))
-        out = []
-        for (r, j), (cosine, p) in sorted(best.items()):
-            item = items[j]
-            lo, hi = max(0, p - len(item)), p + max(WINDOWS) + len(item)
-            a, b = first[r] + np.searchsorted(place[first[r] : first[r + 1]], [lo, hi])
-            text = np.full(hi - lo, -1, np.int64)
-            text[place[a:b] - lo] = word[a:b]
-            if (found := judge(item, text, verdict)) is not None:
-                out.append((r, numbers[j], cosine, *found, lo, min(hi, batch.column("n")[r].as_py())))
-        cols = list(zip(*out)) if out else [()] * 8
-        kinds = (pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64(), pa.int64(), pa.int64())
-        return pa.RecordBatch.from_arrays([batch.column("_id").take(pa.array(cols[0], pa.int64())), *(pa.array(c, k) for c, k in zip(cols[1:], kinds))], ["_id", "item", "cosine", "lcs", "answer", "run", "start", "end"])
+                i, j = np.nonzero(cosine >= COSINE)
+                found.append(np.stack([i_row[s[i]], j, cosine[i, j], i_place[s[i]]], 1))
+        every = np.concatenate(found)
+        every = every[np.lexsort((every[:, 3], -every[:, 2], every[:, 1], every[:, 0]))]
+        best = np.concatenate([[True], (every[1:, :2] != every[:-1, :2]).any(1)])[: len(every)]
+        every = every[best][np.argsort(every[best][:, 1], kind="stable")]
+        out = [[()] * 8]
+        for part in np.split(every, np.flatnonzero(np.diff(every[:, 1])) + 1) if len(every) else []:
+            item = items[int(part[0, 1])]
+            width = max(WINDOWS) + 2 * len(item)
+            for lot in (part[lo : lo + 2048] for lo in range(0, len(part), 2048)):
+                r, lo = lot[:, 0].astype(np.int64), np.maximum(lot[:, 3].astype(np.int64) - len(item), 0)
+                texts = np.full((len(lot), width), -1, np.int64)
+                for k, (x, y) in enumerate(zip(r, lo)):
+                    a, b = first[x] + np.searchsorted(place[first[x] : first[x + 1]], [y, y + width])
+                    texts[k, place[a:b] - y] = word[a:b]
+                good, share, answer, run = judge(item, texts, verdict)
+                end = np.minimum(lo + width, batch.column("n").to_numpy()[r])
+                out.append([c[good] for c in (r, np.full(len(r), int(part[0, 1])), lot[:, 2], share, answer, run, lo, end)])
+        r, j, *rest = (np.concatenate(c) for c in zip(*out))
+        kinds = (pa.float64(), pa.float64(), pa.float64(), pa.int64(), pa.int64(), pa.int64())
+        cols = [batch.column("_id").take(pa.array(r.astype(np.int64))), pa.array([numbers[int(x)] for x in j], pa.int64()), *(pa.array(c, pa.float64()).cast(k) for c, k in zip(rest, kinds))]
+        return pa.RecordBatch.from_arrays(cols, ["_id", "item", "cosine", "lcs", "answer", "run", "start", "end"])
 
     return run
 
@@ -291,10 +324,11 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
         df, passages = _frequencies(places, len(keys))
         for lo in range(0, len(numbered), ITEMS):
             block = [w for _, w in numbered[lo : lo + ITEMS]]
-            column, idf, vectors = latent_space(places, block, df, passages)
-            loading = vectors * idf[:, None]
+            idf, column = informative(block, df, passages)
+            hits = stored(arrow_map(places, _chosen(spark.sparkContext.broadcast(column)), f"_id {kind}, n long, i_place binary, i_word binary, place binary, word binary"), "hits")
+            loading = latent_space(hits, block, idf, column)
             query = np.stack([loading[column[w[column[w] >= 0]]].sum(0) for w in block])
             query /= np.maximum(np.linalg.norm(query, axis=1, keepdims=True), 1e-12)
             model = spark.sparkContext.broadcast((block, [i for i, _ in numbered[lo : lo + ITEMS]], column, loading, query.T))
-            found = found.unionByName(arrow_map(places, _search(model, verdict), schema))
+            found = found.unionByName(arrow_map(hits.where("octet_length(place) > 0"), _search(model, verdict), schema))
     return found.select(F.col("_id").alias(id_col), F.col("item").alias("item_id"), "cosine", "lcs", "answer", "run", "start", "end")

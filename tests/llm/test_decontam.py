@@ -25,7 +25,7 @@ def brute(texts, items, verdict=decontam.Verdict()):
         for i, item in coded.items():
             if len(item) and sum(x in have for x in item.tolist()) >= min(verdict.run, verdict.lcs * len(item)):
                 for s in range(0, max(1, len(w)), len(item)):
-                    if decontam.judge(item, w[max(0, s - len(item)) : s + 2 * len(item)], verdict):
+                    if decontam.judge(item, w[None, max(0, s - len(item)) : s + 2 * len(item)], verdict)[0][0]:
                         out.add((d, i))
     return out
 
@@ -40,8 +40,8 @@ def test_lcs_and_run():
             for j, y in enumerate(b):
                 t[i + 1][j + 1] = t[i][j] + 1 if x == y else max(t[i][j + 1], t[i + 1][j])
                 run[i + 1][j + 1] = run[i][j] + 1 if x == y else 0
-        assert decontam.lcs(np.array(a), np.array(b)) == t[-1][-1]
-        assert decontam.longest_run(np.array(a), np.array(b)) == max(map(max, run))
+        assert decontam.lcs(np.array(a), np.array([b]))[0] == t[-1][-1]
+        assert decontam.longest_run(np.array(a), np.array([b]))[0] == max(map(max, run))
 
 
 def test_whole_table_and_paraphrases(spark):
