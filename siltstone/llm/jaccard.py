@@ -6,11 +6,12 @@ two sets share at most the sum of the coordinate-wise minima of their points.
 1. Equal sets form a class; only one text of a class goes on.
 2. A class is filed under its first shingles in one global order, very frequent ones last, so many that two similar sets
    must meet under one of them. Those under one shingle form a cell.
-3. In a first round each class is compared with the first of its size in a cell and with its neighbour; what is verified
-   gives components, so that a large group of near copies costs no pairs within itself.
-4. In a second round, an R-tree over the points of each cell with more than one component finds all pairs of different
-   components whose bound reaches the threshold; cells over TILE are dealt out as pairs of tiles.
-5. Both rounds verify pairs on the whole texts. The components of all links are the result.
+3. In a first round each class is compared with the two that it meets most often, as the first of its size or as its
+   neighbour in a cell. What is verified joins components, so that a large group of near copies costs few pairs.
+4. An R-tree over the points of each cell with more than one component finds the pairs of different components whose bound
+   reaches the threshold; cells over TILE are dealt out as pairs of tiles. While rounds with only the closest pair of any
+   two components find links, they go on; a last one with all pairs finds whatever is left.
+5. All rounds verify pairs on the whole texts. The components of all links are the result.
 """
 
 from __future__ import annotations
@@ -29,8 +30,8 @@ from .words import mix, windows, words
 
 #: Coordinates of a point; most classes of a cell that one task compares; most rows of a broadcast table (16 bytes each).
 GROUPS, TILE, BROADCAST_ROWS = 64, 20_000, 500_000
-#: A shingle in more than this part of a task's or of all classes is frequent: at most shingles-per-document / SHARE are.
-SHARE = 0.001
+#: Most shingles that are ordered last as frequent (16 bytes each), and most that a task puts up for that.
+FREQUENT, TASK_FREQUENT = 1 << 19, 1 << 16
 #: Cells of up to so many classes are compared directly.
 SMALL = 24
 LEAF = 16
@@ -88,7 +89,7 @@ def _rows(k: int):
             """Add what is pending up; what is rare so far is forgotten."""
             every, at = np.unique(np.concatenate([keys, *pending]), return_inverse=True)
             total = np.bincount(at, np.concatenate([counts, np.ones(len(at) - len(counts), np.int64)]), len(every)).astype(np.int64)
-            held = total >= max(2, SHARE / 4 * len(seen))
+            held = total >= 2
             return every[held], total[held]
 
         for batch in batches:
@@ -110,9 +111,10 @@ def _rows(k: int):
             cols = [batch.column(0), pa.array(n, pa.int64()), pa.array(name, pa.int64()), pa.array(low, pa.binary()), pa.array(vec, pa.binary()), batch.column(2), pa.nulls(len(n), pa.int64())]
             yield pa.RecordBatch.from_arrays(cols, ["_id", *(c for c, _ in _ROWS)])
         keys, counts = fold(keys, counts)
-        often = counts >= max(8, SHARE * len(seen))
-        if often.any():
-            m = int(often.sum())
+        often = np.argsort(-counts, kind="stable")[:TASK_FREQUENT]
+        often = often[counts[often] >= 3]
+        if len(often):
+            m = len(often)
             cols = [pa.nulls(m, kind), pa.nulls(m, pa.int64()), pa.array(keys[often].view(np.int64)), pa.nulls(m, pa.binary()), pa.nulls(m, pa.binary()), pa.nulls(m, pa.int64()), pa.array(counts[often])]
             yield pa.RecordBatch.from_arrays(cols, ["_id", *(c for c, _ in _ROWS)])
 
@@ -255,8 +257,9 @@ def _points(column) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, GROUPS)
 
 
-def _tree_join(t: int):
-    """Candidate pairs of each cell (key, s1, s2); rows come in order of cell, size and class."""
+def _tree_join(t: int, best: bool):
+    """Candidate pairs of each cell (key, s1, s2) with their components and how far the bound is over the threshold; best:
+    of two components only the pair where it is farthest. Rows come in order of cell, size and class."""
 
     def cells(table: pa.Table) -> Iterator[pa.RecordBatch]:
         key = np.stack([table.column(c).to_numpy() for c in ("key", "s1", "s2")])
@@ -284,9 +287,17 @@ def _tree_join(t: int):
         i, j = (np.concatenate(x) for x in zip(*out))
         i, j = np.minimum(i, j), np.maximum(i, j)  # order in a cell: by size, then class
         ok = (role[i] == 1) & ((key[1][i] == key[2][i]) | (salt[i] != salt[j]))
-        pair = np.unique(np.stack([name[i[ok]], name[j[ok]]], 1), axis=0)
-        for lo in range(0, len(pair), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(pair[lo : lo + 100_000, 0]), pa.array(pair[lo : lo + 100_000, 1])], ["a", "b"])
+        i, j = i[ok], j[ok]
+        low, high = np.minimum(comp[i], comp[j]), np.maximum(comp[i], comp[j])
+        close = np.minimum(vec[i], vec[j]).sum(1) / need(n[i], n[j], t) if best else np.ones(len(i))
+        order = np.lexsort((name[j], name[i], -close, high, low))
+        same = (low[order][1:] == low[order][:-1]) & (high[order][1:] == high[order][:-1])
+        if not best:
+            same &= (name[i[order]][1:] == name[i[order]][:-1]) & (name[j[order]][1:] == name[j[order]][:-1])
+        order = order[np.concatenate([[True], ~same])] if len(order) else order
+        cols = [name[i], name[j], low, high, close]
+        for lo in range(0, len(order), 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(c[order[lo : lo + 100_000]]) for c in cols], ["a", "b", "low", "high", "close"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
@@ -370,25 +381,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     measured = stored(source.mapInArrow(_rows(k), f"_id {kind}, n long, cls long, point binary, vec binary, hash long, often long"), "rows")
     rows = measured.where("n is not null").select("_id", "n", "cls")
     classes = stored(measured.where("n > 0").groupBy("cls").agg(F.min("_id").alias("rep"), F.min("n").alias("n"), F.min("hash").alias("hash"), F.first("point").alias("point"), F.first("vec").alias("vec")), "classes")
-    frequent = spark.sparkContext.broadcast(_frequent(measured, classes.count()))
+    frequent = spark.sparkContext.broadcast(_frequent(measured))
 
     postings = source.select("_text").mapInArrow(_postings(k, t, frequent), "key long, cls long, code long")
     cells = postings.repartition("key").sortWithinPartitions("key", "code", "cls").mapInArrow(_cells(t), "key long, cls long, code long, lead long, prev long")
     filed = stored(cells, "cells")
 
-    pairs = filed.select("cls", F.explode(F.array("lead", "prev")).alias("other")).where("cls <> other").select(F.least("cls", "other").alias("a"), F.greatest("cls", "other").alias("b")).distinct()
-    links = _links(source, classes, stored(_bounded(pairs, classes, t), "pairs"), k, t)
-    known = stored(components(links), "known")
-
-    labels = _maybe_broadcast(known)
-    marked = filed.join(labels, filed["cls"] == known["node"], "left").select("key", "cls", "code", F.coalesce("component", "cls").alias("component"))
-    mixed = stored(marked.groupBy("key").agg(F.count("*").alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key", F.ceil(F.col("size") / TILE).cast("int").alias("tiles")), "mixed")
-    open_ = marked.join(_maybe_broadcast(mixed), "key").join(classes.select("cls", "point"), "cls")
-    open_ = open_.withColumn("salt", F.pmod(F.xxhash64("cls"), F.col("tiles")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    open_ = open_.select("key", F.least("salt", "other").alias("s1"), F.greatest("salt", "other").alias("s2"), "salt", "cls", "code", "component", "point")
-    more = open_.repartition("key", "s1", "s2").sortWithinPartitions("key", "s1", "s2", F.col("code").bitwiseAND(-2), "cls").mapInArrow(_tree_join(t), "a long, b long").distinct()
-    late = _links(source, classes, stored(_bounded(more, classes, t), "pairs"), k, t)
-    final = components(known.select(F.col("node").alias("a"), F.col("component").alias("b")).union(late))
+    candidates, found = _partners(filed), None
+    while True:
+        links = _links(source, classes, stored(_bounded(candidates, classes, t), "pairs"), k, t)
+        if found is not None and links.isEmpty():
+            break
+        known = stored(components(links if found is None else found.union(links)), "known")
+        found = known.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        candidates = _candidates(filed, classes, known, t, best=True)
+    late = _links(source, classes, stored(_bounded(_candidates(filed, classes, known, t, best=False), classes, t), "pairs"), k, t)
+    final = components(found.union(late))
 
     in_class = classes.select("cls", "rep").join(final, classes["cls"] == final["node"], "left").select("cls", "rep", F.coalesce("component", "cls").alias("component"))
     least = in_class.groupBy("component").agg(F.min("rep").alias("component_id"))
@@ -397,12 +405,41 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("_id")).alias("component_id"))
 
 
-def _frequent(measured: DataFrame, n_classes: int) -> np.ndarray:
-    """Frequent shingles with their rank, sorted by hash: at most (mean size of a set) / SHARE of them, 16 bytes each."""
-    rows = measured.where("n is null").groupBy("cls").agg(F.sum("often").alias("c")).where(F.col("c") >= max(16, SHARE * n_classes)).toArrow()
-    keys, counts = rows.column("cls").to_numpy().view(np.uint64), rows.column("c").to_numpy()
+def _partners(filed: DataFrame) -> DataFrame:
+    """For each class the lead and the neighbour that it shares most cells with: at most two pairs (a, b) a class."""
+    met = [filed.where(F.col("cls") != F.col(c)).groupBy("cls", F.col(c).alias("other")).agg(F.count("*").alias("n")).groupBy("cls").agg(F.max(F.struct("n", "other")).alias("best")) for c in ("lead", "prev")]
+    both = met[0].union(met[1]).select("cls", F.col("best.other").alias("other"))
+    return both.select(F.least("cls", "other").alias("a"), F.greatest("cls", "other").alias("b")).distinct()
+
+
+def _candidates(filed: DataFrame, classes: DataFrame, known: DataFrame, t: int, best: bool) -> DataFrame:
+    """Pairs (a, b) of different components by the tree join of all cells with more than one component."""
+    labels = _maybe_broadcast(known)
+    marked = filed.join(labels, filed["cls"] == known["node"], "left").select("key", "cls", "code", F.coalesce("component", "cls").alias("component"))
+    mixed = stored(marked.groupBy("key").agg(F.count("*").alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key", F.ceil(F.col("size") / TILE).cast("int").alias("tiles")), "mixed")
+    open_ = marked.join(_maybe_broadcast(mixed), "key").join(classes.select("cls", "point"), "cls")
+    open_ = open_.withColumn("salt", F.pmod(F.xxhash64("cls"), F.col("tiles")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    open_ = open_.select("key", F.least("salt", "other").alias("s1"), F.greatest("salt", "other").alias("s2"), "salt", "cls", "code", "component", "point")
+    pairs = open_.repartition("key", "s1", "s2").sortWithinPartitions("key", "s1", "s2", F.col("code").bitwiseAND(-2), "cls").mapInArrow(_tree_join(t, best), "a long, b long, low long, high long, close double")
+    if best:
+        return pairs.groupBy("low", "high").agg(F.max(F.struct("close", "a", "b")).alias("p")).select("p.a", "p.b")
+    return pairs.select("a", "b").distinct()
+
+
+def _frequent(measured: DataFrame) -> np.ndarray:
+    """The FREQUENT most frequent shingles at most, with their rank, sorted by hash. Any set is right; a good one makes
+    cells small. All counts of one power of two are taken or none, so that no sort is needed."""
+    counts = measured.where("n is null").groupBy("cls").agg(F.sum("often").alias("c"))
+    counts = stored(counts.withColumn("size", F.floor(4 * F.log2("c")).cast("int")), "frequent")
+    room, least = FREQUENT, None
+    for size, n in counts.groupBy("size").count().orderBy(F.desc("size")).collect():
+        if n > room:
+            break
+        room, least = room - n, size
+    rows = counts.where(F.col("size") >= least if least is not None else F.lit(False)).select("cls", "c").toArrow()
+    keys, c = rows.column("cls").to_numpy().view(np.uint64), rows.column("c").to_numpy()
     rank = np.empty(len(keys), np.int64)
-    rank[np.lexsort((keys, counts))] = np.arange(len(keys))
+    rank[np.lexsort((keys, c))] = np.arange(len(keys))
     out = np.empty(len(keys), [("key", np.uint64), ("rank", np.int64)])
     out["key"], out["rank"] = keys, rank
     return np.sort(out, order="key")

@@ -67,9 +67,9 @@ def rows_of(df):
     return sorted(map(tuple, df.collect()), key=repr)
 
 
-@pytest.mark.parametrize("seed,tile,small,share", [(1, 20_000, 24, 0.001), (2, 7, 3, 0.05)])
-def test_equals_all_pairs(spark, monkeypatch, seed, tile, small, share):
-    for name, value in (("TILE", tile), ("SMALL", small), ("SHARE", share)):
+@pytest.mark.parametrize("seed,tile,small,frequent", [(1, 20_000, 24, 1 << 19), (2, 7, 3, 40)])
+def test_equals_all_pairs(spark, monkeypatch, seed, tile, small, frequent):
+    for name, value in (("TILE", tile), ("SMALL", small), ("FREQUENT", frequent)):
         monkeypatch.setattr(jaccard, name, value)
     rows = [(i, t) for i, t in enumerate(corpus(seed, 400))] + [(None, "a b"), (None, "lone row here"), (5, "x " * 50), (5, "y z " * 30)]
     docs = spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, component_id int").repartition(3)
