@@ -260,15 +260,14 @@ def _search(model, verdict: Verdict):
         first = np.searchsorted(row, np.arange(batch.num_rows + 1))
         i_row, i_place, i_word = _flat(batch, ("i_place", "i_word"))
         at = i_row.astype(np.int64) << 32 | i_place
-        vectors = loading[column[i_word]]
         found = [np.zeros((0, 4))]
         for width in WINDOWS:
             ends = np.searchsorted(at, at + width)
             starts = np.flatnonzero(ends - np.arange(len(at)) >= 3)
-            for s in (starts[lo : lo + 4096] for lo in range(0, len(starts), 4096)):
+            for s in (starts[lo : lo + 2048] for lo in range(0, len(starts), 2048)):
                 low, high = int(s[0]), int(ends[s[-1]])
                 total = np.zeros((high - low + 1, loading.shape[1]))
-                np.cumsum(vectors[low:high], axis=0, out=total[1:])
+                np.cumsum(loading[column[i_word[low:high]]], axis=0, out=total[1:])
                 x = total[ends[s] - low] - total[s - low]
                 cosine = (x @ query) / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
                 i, j = np.nonzero(cosine >= COSINE)
