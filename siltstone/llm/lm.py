@@ -26,7 +26,7 @@ from .shared import bucket_of, stored
 from .words import mix, words
 
 #: Bytes of text in a block (more only if one text is longer), and of text for each range of hashes.
-BLOCK_BYTES, RANGE_BYTES = 8 << 20, 32 << 20
+BLOCK_BYTES, RANGE_BYTES = 6 << 20, 16 << 20
 #: Strengths of smoothing that leave-one-out likelihood chooses from.
 STRENGTHS = (4.0, 16.0, 64.0, 256.0, 1024.0, 4096.0, 65536.0)
 _END = np.uint64(0x5EED5EED5EED5EED)
