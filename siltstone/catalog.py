@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 FLAGSHIP = "resolution"
-_GROUPS = ("entities", "web", "graph", "text")
+_GROUPS = ("entities", "web", "graph", "text", "streams")
 
 
 def _gathered(what: str) -> dict:
