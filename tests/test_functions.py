@@ -72,7 +72,7 @@ def test_html(spark):
 
 
 def test_query_language():
-    assert S.canonical(S.parse('the +nutch -bad title:x "a b" com-pound')) == '+nutch -bad +title:x +"a b" +"com pound"'
+    assert S.canonical(S.parse('the +word -bad title:x "a b" com-pound')) == '+word -bad +title:x +"a b" +"com pound"'
     assert S.excerpt("a b c hit d e f", frozenset({"hit"}), 1, 5) == "c hit d"
 
 
