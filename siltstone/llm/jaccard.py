@@ -29,7 +29,7 @@ from .shared import arrow_map, stored
 from .words import mix, windows, words
 
 #: Coordinates of a point; most classes of a cell that one task compares; most rows of a broadcast table (16 bytes each).
-GROUPS, TILE, BROADCAST_ROWS = 64, 20_000, 500_000
+GROUPS, TILE, BROADCAST_ROWS = 256, 20_000, 500_000
 #: Most shingles that are ordered last as frequent (16 bytes each), and most that a task puts up for that.
 FREQUENT, TASK_FREQUENT = 1 << 19, 1 << 16
 #: Cells of up to so many classes are compared directly.
@@ -52,7 +52,7 @@ def shingle_sets(column, k: int = 5) -> Iterator[np.ndarray]:
 
 def point(shingles: np.ndarray) -> np.ndarray:
     """Counts by group. A long text has more groups, an eighth of its shingles at least; each splits one of the coarser point."""
-    bits = max(6, int(len(shingles)).bit_length() - 3)
+    bits = max(8, int(len(shingles)).bit_length() - 3)
     return np.bincount((shingles >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits).astype(np.uint16)
 
 
@@ -71,6 +71,14 @@ def need(n, m, t: float):
     return np.ceil(t * (n + m) / (100 + t) - 1e-9)
 
 
+def admissible(i: dict, j: dict, t: int) -> np.ndarray:
+    """Whether two postings of a cell can be the first shingle that linked sets share: the places before it hold only
+    shingles that the other lacks, the sets meet in more cells than either lies in, and their components differ."""
+    least = need(i["n"], j["n"], t)
+    meetings = least - np.ceil(t * np.maximum(i["n"], j["n"]) / 100 - 1e-9) + 1
+    return (i["component"] != j["component"]) & (i["place"] <= i["n"] - least) & (j["place"] <= j["n"] - least) & (np.minimum(i["cells"], j["cells"]) >= meetings)
+
+
 def linked(common: int, n: int, m: int, t: int) -> bool:
     return 100 * common >= t * (n + m - common)
 
@@ -136,7 +144,7 @@ def _ordered(shingles: np.ndarray, frequent: np.ndarray, at_least: int) -> np.nd
 
 
 def _postings(k: int, t: int, frequent):
-    """(shingle, class, size * 2 + role) rows, once for each class of a task. Role 1: under the shorter prefix of the smaller set."""
+    """(shingle, class, code) rows, once for each class of a task. code: size << 32 | place in the global order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
@@ -147,12 +155,10 @@ def _postings(k: int, t: int, frequent):
                 if not n or (c, n) in seen:
                     continue
                 seen.add((c, n))
-                probe = n - -(-t * n // 100) + 1
-                index = n - -(-2 * t * n // (100 + t)) + 1
-                prefix = _ordered(s, frequent.value, probe)
+                prefix = _ordered(s, frequent.value, n - -(-t * n // 100) + 1)
                 keys.append(prefix.view(np.int64))
                 names.append(np.full(len(prefix), c))
-                codes.append(n * 2 + (np.arange(len(prefix)) < index))
+                codes.append((n << 32) + np.arange(len(prefix)))
                 size += len(prefix)
                 if size > 100_000:
                     yield _batch(keys, names, codes)
@@ -181,7 +187,7 @@ def _cells(t: int):
             new = np.concatenate([[True], (key[1:] != key[:-1]) | (name[1:] != name[:-1]) | (code[1:] != code[:-1])])  # copies met in several tasks
             key, name, code = key[new], name[new], code[new]
             same = key[1:] == key[:-1]
-            size = np.floor(np.log(code >> 1) / ratio)
+            size = np.floor(np.log(code >> 32) / ratio)
             begins = np.concatenate([[True], ~same | (size[1:] != size[:-1])])
             at = np.maximum.accumulate(np.where(begins, np.arange(len(key)), 0))
             left = np.concatenate([[False], same])
@@ -257,47 +263,8 @@ def _points(column) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, GROUPS)
 
 
-def _tree_join(t: int, best: bool):
-    """Candidate pairs of each cell (key, s1, s2) with their components and how far the bound is over the threshold; best:
-    of two components only the pair where it is farthest. Rows come in order of cell, size and class."""
-
-    def cells(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        key = np.stack([table.column(c).to_numpy() for c in ("key", "s1", "s2")])
-        name, code, comp, salt = (table.column(c).to_numpy() for c in ("cls", "code", "component", "salt"))
-        vec, n, role = _points(table.column("point")).astype(np.int32), code >> 1, code & 1
-        begins = np.flatnonzero(np.concatenate([[True], (key[:, 1:] != key[:, :-1]).any(0)]))
-        length = np.diff(np.append(begins, len(name)))
-        cell = np.repeat(np.arange(len(begins)), length)
-        out: list[tuple[np.ndarray, np.ndarray]] = []
-        small = (length <= SMALL)[cell]
-        for shift in range(1, min(SMALL, int(length.max()))):
-            i = np.flatnonzero(small[:-shift] & (cell[shift:] == cell[:-shift]))
-            if not len(i):
-                break
-            j = i + shift
-            ok = (comp[i] != comp[j]) & (100 * n[i] >= t * n[j])
-            i, j = i[ok], j[ok]
-            ok = np.minimum(vec[i], vec[j]).sum(1) >= need(n[i], n[j], t)
-            out.append((i[ok], j[ok]))
-        for g in np.flatnonzero(length > SMALL):
-            at = np.arange(begins[g], begins[g] + length[g])
-            out += [(at[a], at[b]) for a, b in CountTree(vec[at], n[at], comp[at]).pairs(t)]
-        if not out:
-            return
-        i, j = (np.concatenate(x) for x in zip(*out))
-        i, j = np.minimum(i, j), np.maximum(i, j)  # order in a cell: by size, then class
-        ok = (role[i] == 1) & ((key[1][i] == key[2][i]) | (salt[i] != salt[j]))
-        i, j = i[ok], j[ok]
-        low, high = np.minimum(comp[i], comp[j]), np.maximum(comp[i], comp[j])
-        close = np.minimum(vec[i], vec[j]).sum(1) / need(n[i], n[j], t) if best else np.ones(len(i))
-        order = np.lexsort((name[j], name[i], -close, high, low))
-        same = (low[order][1:] == low[order][:-1]) & (high[order][1:] == high[order][:-1])
-        if not best:
-            same &= (name[i[order]][1:] == name[i[order]][:-1]) & (name[j[order]][1:] == name[j[order]][:-1])
-        order = order[np.concatenate([[True], ~same])] if len(order) else order
-        cols = [name[i], name[j], low, high, close]
-        for lo in range(0, len(order), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(c[order[lo : lo + 100_000]]) for c in cols], ["a", "b", "low", "high", "close"])
+def _grouped(cells):
+    """Run `cells` on tables of whole cells (key, s1, s2) of a sorted partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
@@ -310,12 +277,91 @@ def _tree_join(t: int, best: bool):
             if cut:
                 yield from cells(now.slice(0, cut))
             held = now.slice(cut)
-        if held is not None:
+        if held is not None and held.num_rows:
             yield from cells(held)
 
     return run
 
 
+class _Cells:
+    """A table of whole cells as arrays; rows come in order of cell, size and class."""
+
+    def __init__(self, table: pa.Table):
+        self.table = table
+        self.key = np.stack([table.column(c).to_numpy() for c in ("key", "s1", "s2")])
+        code = table.column("code").to_numpy()
+        self.salt = table.column("salt").to_numpy()
+        self.of = {"n": code >> 32, "place": code & 0xFFFFFFFF, "component": table.column("component").to_numpy(), "cells": table.column("cells").to_numpy()}
+        self.begins = np.flatnonzero(np.concatenate([[True], (self.key[:, 1:] != self.key[:, :-1]).any(0)]))
+        self.length = np.diff(np.append(self.begins, len(code)))
+        self.cell = np.repeat(np.arange(len(self.begins)), self.length)
+
+    def at(self, rows: np.ndarray) -> dict:
+        return {k: v[rows] for k, v in self.of.items()}
+
+    def admissible(self, i: np.ndarray, j: np.ndarray, t: int) -> np.ndarray:
+        return admissible(self.at(i), self.at(j), t) & ((self.key[1][i] == self.key[2][i]) | (self.salt[i] != self.salt[j]))
+
+    def shifted(self, t: int, most: int | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Admissible pairs (i, j) of cells of up to `most` rows, a distance at a time; sizes grow with it, so that a cell
+        is done when its sizes are too far apart."""
+        alive = np.flatnonzero((self.length <= most)[self.cell]) if most else np.arange(len(self.cell))
+        shift = 1
+        while len(alive):
+            alive = alive[alive + shift < len(self.cell)]
+            alive = alive[self.cell[alive + shift] == self.cell[alive]]
+            alive = alive[100 * self.of["n"][alive] >= t * self.of["n"][alive + shift]]
+            ok = self.admissible(alive, alive + shift, t)
+            yield alive[ok], alive[ok] + shift
+            shift += 1
+
+
+def _with_partner(t: int):
+    """The rows of a cell that have an admissible partner in it, before any point is fetched; large cells stay whole."""
+
+    def cells(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        c = _Cells(table)
+        keep = (c.length > SMALL)[c.cell]
+        for i, j in c.shifted(t, SMALL):
+            keep[i] = keep[j] = True
+        yield from table.filter(pa.array(keep)).combine_chunks().to_batches()
+
+    return _grouped(cells)
+
+
+def _tree_join(t: int, best: bool):
+    """Candidate pairs of each cell with their components and how far the bound is over the threshold; best: of two
+    components only the pair where it is farthest."""
+
+    def cells(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        c = _Cells(table)
+        name, vec, n, comp = table.column("cls").to_numpy(), _points(table.column("point")), c.of["n"], c.of["component"]
+        over = lambda i, j: np.minimum(vec[i], vec[j]).sum(1, dtype=np.int64) / need(n[i], n[j], t)
+        out: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        for i, j in c.shifted(t, SMALL):
+            ok = over(i, j) >= 1
+            out.append((i[ok], j[ok]))
+        for g in np.flatnonzero(c.length > SMALL):
+            at = np.arange(c.begins[g], c.begins[g] + c.length[g])
+            for a, b in CountTree(vec[at], n[at], comp[at]).pairs(t):
+                i, j = np.minimum(at[a], at[b]), np.maximum(at[a], at[b])
+                ok = c.admissible(i, j, t)
+                out.append((i[ok], j[ok]))
+        i, j = (np.concatenate(x) for x in zip(*out))
+        low, high = np.minimum(comp[i], comp[j]), np.maximum(comp[i], comp[j])
+        close = over(i, j) if best and len(i) else np.ones(len(i))
+        order = np.lexsort((name[j], name[i], -close, high, low))
+        same = (low[order][1:] == low[order][:-1]) & (high[order][1:] == high[order][:-1])
+        if not best:
+            same &= (name[i[order]][1:] == name[i[order]][:-1]) & (name[j[order]][1:] == name[j[order]][:-1])
+        order = order[np.concatenate([[True], ~same])] if len(order) else order
+        cols = [name[i], name[j], low, high, close]
+        for lo in range(0, len(order), 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(x[order[lo : lo + 100_000]]) for x in cols], ["a", "b", "low", "high", "close"])
+
+    return _grouped(cells)
+
+
 def _verify(k: int, t: int):
     """Of rows (a, b, text_a, text_b), in order of a, the pairs that are linked."""
 
@@ -417,10 +463,14 @@ def _candidates(filed: DataFrame, classes: DataFrame, known: DataFrame, t: int,
     labels = _maybe_broadcast(known)
     marked = filed.join(labels, filed["cls"] == known["node"], "left").select("key", "cls", "code", F.coalesce("component", "cls").alias("component"))
     mixed = stored(marked.groupBy("key").agg(F.count("*").alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key", F.ceil(F.col("size") / TILE).cast("int").alias("tiles")), "mixed")
-    open_ = marked.join(_maybe_broadcast(mixed), "key").join(classes.select("cls", "point"), "cls")
+    open_ = marked.join(_maybe_broadcast(mixed), "key")
+    open_ = open_.join(open_.groupBy("cls").agg(F.count("*").alias("cells")), "cls")
     open_ = open_.withColumn("salt", F.pmod(F.xxhash64("cls"), F.col("tiles")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    open_ = open_.select("key", F.least("salt", "other").alias("s1"), F.greatest("salt", "other").alias("s2"), "salt", "cls", "code", "component", "point")
-    pairs = open_.repartition("key", "s1", "s2").sortWithinPartitions("key", "s1", "s2", F.col("code").bitwiseAND(-2), "cls").mapInArrow(_tree_join(t, best), "a long, b long, low long, high long, close double")
+    open_ = open_.select("key", F.least("salt", "other").alias("s1"), F.greatest("salt", "other").alias("s2"), "salt", "cls", "code", "component", "cells")
+    sort = ("key", "s1", "s2", F.shiftright("code", 32), "cls")
+    open_ = open_.repartition("key", "s1", "s2").sortWithinPartitions(*sort).mapInArrow(_with_partner(t), open_.schema)
+    open_ = open_.join(classes.select("cls", "point"), "cls").repartition("key", "s1", "s2").sortWithinPartitions(*sort)
+    pairs = open_.select("key", "s1", "s2", "salt", "cls", "code", "component", "cells", "point").mapInArrow(_tree_join(t, best), "a long, b long, low long, high long, close double")
     if best:
         return pairs.groupBy("low", "high").agg(F.max(F.struct("close", "a", "b")).alias("p")).select("p.a", "p.b")
     return pairs.select("a", "b").distinct()
