@@ -117,7 +117,7 @@ def index_assembly(spark, sf):
     text = p.select("url", F.length(P.text(h)).cast("bigint").alias("text_length"))
     data = p.where(P.title(h) != "").select("url", P.title(h).alias("title"), F.md5("html").alias("signature"), F.concat(F.lit("s"), F.col("page_id") % 4).alias("segment"))
     db = p.select("url", (F.col("page_id") % 6 + 1).alias("status"))
-    fetch = p.where("page_id % 5 <> 4").select("url", (F.col("page_id") * 10).alias("fetched"))
+    fetch = p.where(~F.contains("url", F.lit("ref="))).select("url", (F.col("page_id") * 10).alias("fetched"))
     inlinks = G.inlink_counts(_links(spark, sf)).select(F.col("to_url").alias("url"), "inlinks")
     docs = X.assemble(text, data, db, fetch, inlinks)
     return X.archive_documents(docs.drop("segment", "signature", "title"), data).select("url", "title", "segment", "signature", "status", "fetched", "inlinks", "text_length")
@@ -126,7 +126,7 @@ def index_assembly(spark, sf):
 def custom_fields(spark, sf):
     p = table(spark, sf, "pages")
     lines = p.select(F.concat_ws("\t", "url", F.lit("tag"), F.substring("url", 1, 5), F.when(F.col("page_id") % 2 == 0, (F.col("page_id") / 4).cast("string"))).alias("value")).union(p.select(F.concat_ws("\t", "url", F.lit("short"))))
-    return X.custom_fields(lines, p.where("page_id % 3 = 0").select("url")).select("url", "name", "content", F.round("score", 6).alias("score"))
+    return X.custom_fields(lines, p.where(F.startswith("url", F.lit("https"))).select("url")).select("url", "name", "content", F.round("score", 6).alias("score"))
 
 
 def segment_listing(spark, sf):
@@ -168,7 +168,7 @@ p as (select doc_id, string_agg(t || ' ' || k, chr(10) order by k desc, t) as pr
     "index_prune": f"with {_POST} select doc_id, count(*) as tokens from post where doc_id not in (select doc_id from post where (field = 'content' and term = 'der') or (field = 'host' and term = 'm')) group by 1",
     "index_config": "select doc_id, lang as language, lower(source) as source, 'web' as collection from documents",
     "index_assembly": rf"""with {_A}, i as (select to_url as url, count(*) as inlinks from l group by 1) select p.url, trim(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '\s+', ' ', 'g')) as title, 's' || (page_id % 4) as segment, md5(html) as signature, page_id % 6 + 1 as status, page_id * 10 as fetched, coalesce(inlinks, 0) as inlinks,
-length(trim(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g'), '\s+', ' ', 'g'))) as text_length from pages p left join i on p.url = i.url where page_id % 5 <> 4 and regexp_matches(html, '(?is)<title[^>]*>.*?</title>')""",
-    "custom_fields": "select url, 'tag' as name, url[:5] as content, round(case when page_id % 2 = 0 then page_id / 4 else 0 end, 6) as score from pages where page_id % 3 = 0",
+length(trim(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g'), '\s+', ' ', 'g'))) as text_length from pages p left join i on p.url = i.url where not contains(p.url, 'ref=') and regexp_matches(html, '(?is)<title[^>]*>.*?</title>')""",
+    "custom_fields": "select url, 'tag' as name, url[:5] as content, round(case when page_id % 2 = 0 then page_id / 4 else 0 end, 6) as score from pages where starts_with(url, 'https')",
     "segment_listing": "select 'seg' || (page_id % 3) as segment, case when page_id % 2 = 0 then 'content' else 'parse_text' end as part, count(*) as n, min(url) as first_key, max(url) as last_key from pages group by all",
 }
