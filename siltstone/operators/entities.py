@@ -50,12 +50,11 @@ def excluded_keys(excluded: DataFrame, persons: DataFrame) -> DataFrame:
     return excluded.union(persons.select(F.split("key", " ")[0])).distinct()
 
 
-def mention_keys(mentions: DataFrame, excluded_names: DataFrame) -> DataFrame:
-    """Page, name, per_ok, key: distinct names by page, one row for each key; per_ok (F16) if no raw reading is excluded."""
-    names = mentions.where(F.length("name") > 0).select("page", "name").distinct()
-    read = names.select("name").distinct()
-    barred = read.select("name", F.explode(alternatives(F.col("name"))).alias("reading")).join(F.broadcast(excluded_names.withColumnRenamed("name", "reading")), "reading", "left_semi").select("name").distinct()
-    return names.join(barred.withColumn("barred", F.lit(True)), "name", "left").select("page", "name", F.col("barred").isNull().alias("per_ok"), F.explode(name_keys(F.col("name"))).alias("key"))
+def mention_keys(names: DataFrame, excluded_names: DataFrame) -> DataFrame:
+    """Name, per_ok, key of distinct names, one row for each key; per_ok (F16) if no raw reading is excluded."""
+    readings = names.select("name", F.explode(alternatives(F.col("name"))).alias("reading"))
+    barred = readings.join(excluded_names.withColumnRenamed("name", "reading"), "reading", "left_semi").select("name").distinct()
+    return names.join(barred.withColumn("barred", F.lit(True)), "name", "left").select("name", F.col("barred").isNull().alias("per_ok"), F.explode(name_keys(F.col("name"))).alias("key"))
 
 
 def resolve(mentions: DataFrame, registry: DataFrame, exclusions: DataFrame, lone_first_names: bool = True) -> dict[str, DataFrame]:
@@ -64,22 +63,24 @@ def resolve(mentions: DataFrame, registry: DataFrame, exclusions: DataFrame, lon
     Exclusion tests the key as it is, synonyms replace it after (R3). A key with one entity of a type is single, with
     more multi; a multi's candidate is cross-matched if it shares a registry row with exactly one single match of the
     other type on its page, counted by mention and key (R1). Multis without such a candidate are noncross.
+
+    Keys, exclusions, synonyms and candidates depend on the name alone, so they are found once for each distinct name;
+    pages only join their result.
     """
     persons, orgs = person_index(registry), org_index(registry)
     excluded, barred, synonyms = exclusion_sets(exclusions)
     if lone_first_names:
         excluded = excluded_keys(excluded, persons)
-    keys = mention_keys(mentions, barred)
-    keys = keys.persist()  # the outcomes share it and what follows; a lost block is computed again
-    kept = keys.join(excluded, "key", "left_anti").persist()
-    gone = keys.select("page", "name").distinct().join(kept.select("page", "name").distinct(), ["page", "name"], "left_anti")
-    kept = kept.join(F.broadcast(synonyms), "key", "left").select("page", "name", "per_ok", F.coalesce("long_form", "key").alias("key")).distinct()
+    pages = mentions.where(F.length("name") > 0).select("page", "name").distinct().persist()  # every outcome reads these; lost blocks are computed again
+    keys = mention_keys(pages.select("name").distinct(), barred)
+    kept = keys.join(excluded, "key", "left_anti").join(synonyms, "key", "left").select("name", "per_ok", F.coalesce("long_form", "key").alias("key")).distinct()
     index = persons.select(F.lit("PER").alias("type"), "key", "id", F.col("name").alias("entity")).union(orgs.select(F.lit("ORG"), "key", "id", "name"))
-    hits = kept.join(index, "key").where("type = 'ORG' or per_ok")
-    hits = hits.persist()
-    matchless = kept.select("page", "name").distinct().join(hits.select("page", "name").distinct(), ["page", "name"], "left_anti")
-    candidates = hits.groupBy("page", "type", "key", "id", "entity").agg(F.count_distinct("name").alias("mentions"))
-    candidates = candidates.withColumn("n", F.count("*").over(W.partitionBy("page", "type", "key")))
+    hits = kept.join(index, "key").where("type = 'ORG' or per_ok").select("name", "key", "type", "id", "entity").persist()
+    alive = kept.select("name").distinct().persist()
+    gone = pages.join(alive, "name", "left_anti").select("page", "name")
+    matchless = pages.join(alive.join(hits, "name", "left_anti"), "name", "left_semi").select("page", "name")
+    candidates = pages.join(hits, "name").groupBy("page", "type", "key", "id", "entity").agg(F.count_distinct("name").alias("mentions"))
+    candidates = candidates.withColumn("n", F.count("*").over(W.partitionBy("page", "type", "key"))).persist()
     single, multi = candidates.where("n = 1"), candidates.where("n > 1")
     cross = _cross(multi, single, relations(registry))
     noncross = multi.select("page", "type", "key").distinct().join(cross.select("page", "type", "key").distinct(), ["page", "type", "key"], "left_anti")
