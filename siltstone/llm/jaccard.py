@@ -8,8 +8,9 @@ two sets share at most the sum of the coordinate-wise minima of their points.
    must meet under one of them. Those under one shingle form a cell.
 3. In a first round each class is compared with the two that it meets most often, as the first of its size or as its
    neighbour in a cell. What is verified joins components, so that a large group of near copies costs few pairs.
-4. An R-tree over the points of each cell with more than one component finds the pairs of different components whose bound
-   reaches the threshold; cells over TILE are dealt out as pairs of tiles. While rounds with only the closest pair of any
+4. In cells with more than one component, rows without a partner that fits by place in the order and by number of common
+   cells (two exact conditions, see admissible) go first. An R-tree over the points of what stays finds the pairs of
+   different components whose bound reaches the threshold; cells over TILE are dealt out as pairs of tiles. While rounds with only the closest pair of any
    two components find links, they go on; a last one with all pairs finds whatever is left.
 5. All rounds verify pairs on the whole texts. The components of all links are the result.
 """
