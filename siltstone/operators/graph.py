@@ -83,6 +83,7 @@ def link_rank(edges: DataFrame, iterations: int = 10, damping: float = 0.85, ski
     urls = edges.select(F.col("from_url").alias("url")).union(edges.select("to_url")).distinct()
     degree = e.groupBy("from_url").agg(F.count("*").alias("degree"))
     weighted = e.join(degree, "from_url").repartition("from_url").persist()
+    # the joined side is one row, the number of nodes
     ranks = urls.crossJoin(F.broadcast(urls.agg(F.count("*").alias("n")))).withColumn("rank", F.lit(1.0))
     can_cut = edges.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined() or edges.sparkSession.sparkContext.getConf().get("spark.checkpoint.dir")
     for i in range(1, iterations + 1):

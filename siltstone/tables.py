@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .shipping import ship
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The parquet table `name` of the folder; read by Spark only, so any store it knows will do."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

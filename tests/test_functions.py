@@ -148,3 +148,12 @@ def test_streams(spark, tmp_path):
 def test_baseline():
     got = baseline("Here is Mari Tamm of Tere AS. End")
     assert got["names"] == ["Mari Tamm", "Tere AS"] and got["labels"] == ["PER", "ORG"]
+
+
+def test_shipping(spark, monkeypatch):
+    from siltstone import shipping
+
+    monkeypatch.setattr(shipping, "_found_anyway", lambda: False)
+    monkeypatch.setattr(spark.sparkContext, "_siltstone_shipped", False, raising=False)
+    shipping.ship(spark)
+    assert spark.range(3).select(P.main_text_column(F.lit("<p>x"), [])).count() == 3
