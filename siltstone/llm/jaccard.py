@@ -327,7 +327,28 @@ def _with_partner(t: int):
             keep[i] = keep[j] = True
         yield from table.filter(pa.array(keep)).combine_chunks().to_batches()
 
-    return _grouped(cells)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, passing = None, None
+        for batch in batches:
+            now = pa.Table.from_batches([batch])
+            now = now if held is None else pa.concat_tables([held, now]).combine_chunks()
+            key, last = now.column("key").to_numpy(), now.column("key")[-1].as_py()
+            lead = int(np.argmin(np.append(key == passing, False))) if passing is not None else 0
+            if lead:  # the rest of a large cell: no need to hold it
+                yield from now.slice(0, lead).combine_chunks().to_batches()
+            cut = max(lead, int(np.argmax(key == last)))
+            if cut > lead:
+                yield from cells(now.slice(lead, cut - lead))
+            held = now.slice(cut)
+            if held.num_rows > SMALL:
+                yield from held.combine_chunks().to_batches()
+                held, passing = None, last
+            elif not held.num_rows:
+                held = None
+        if held is not None:
+            yield from cells(held)
+
+    return run
 
 
 def _tree_join(t: int, best: bool):
@@ -433,6 +454,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     postings = source.select("_text").mapInArrow(_postings(k, t, frequent), "key long, cls long, code long")
     cells = postings.repartition("key").sortWithinPartitions("key", "code", "cls").mapInArrow(_cells(t), "key long, cls long, code long, lead long, prev long")
     filed = stored(cells, "cells")
+    filed = stored(_fitting(filed, t), "fitting")
 
     candidates, found = _partners(filed), None
     while True:
@@ -459,17 +481,25 @@ def _partners(filed: DataFrame) -> DataFrame:
     return both.select(F.least("cls", "other").alias("a"), F.greatest("cls", "other").alias("b")).distinct()
 
 
+def _fitting(filed: DataFrame, t: int) -> DataFrame:
+    """The rows of cells that have a partner which fits, with the number of cells that their class lies in. Later rounds
+    read only these. Large cells stay whole."""
+    rows = filed.join(filed.groupBy("cls").agg(F.count("*").alias("cells")), "cls")
+    zero = F.lit(0)
+    rows = rows.select("key", zero.alias("s1"), zero.alias("s2"), zero.alias("salt"), "cls", "code", F.col("cls").alias("component"), "cells", "lead", "prev")
+    kept = rows.repartition("key").sortWithinPartitions("key", F.shiftright("code", 32), "cls").mapInArrow(_with_partner(t), rows.schema)
+    return kept.select("key", "cls", "code", "cells", "lead", "prev")
+
+
 def _candidates(filed: DataFrame, classes: DataFrame, known: DataFrame, t: int, best: bool) -> DataFrame:
     """Pairs (a, b) of different components by the tree join of all cells with more than one component."""
     labels = _maybe_broadcast(known)
-    marked = filed.join(labels, filed["cls"] == known["node"], "left").select("key", "cls", "code", F.coalesce("component", "cls").alias("component"))
+    marked = filed.join(labels, filed["cls"] == known["node"], "left").select("key", "cls", "code", "cells", F.coalesce("component", "cls").alias("component"))
     mixed = stored(marked.groupBy("key").agg(F.count("*").alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key", F.ceil(F.col("size") / TILE).cast("int").alias("tiles")), "mixed")
     open_ = marked.join(_maybe_broadcast(mixed), "key")
-    open_ = open_.join(open_.groupBy("cls").agg(F.count("*").alias("cells")), "cls")
     open_ = open_.withColumn("salt", F.pmod(F.xxhash64("cls"), F.col("tiles")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     open_ = open_.select("key", F.least("salt", "other").alias("s1"), F.greatest("salt", "other").alias("s2"), "salt", "cls", "code", "component", "cells")
     sort = ("key", "s1", "s2", F.shiftright("code", 32), "cls")
-    open_ = open_.repartition("key", "s1", "s2").sortWithinPartitions(*sort).mapInArrow(_with_partner(t), open_.schema)
     open_ = open_.join(classes.select("cls", "point"), "cls").repartition("key", "s1", "s2").sortWithinPartitions(*sort)
     pairs = open_.select("key", "s1", "s2", "salt", "cls", "code", "component", "cells", "point").mapInArrow(_tree_join(t, best), "a long, b long, low long, high long, close double")
     if best:
