@@ -5,7 +5,8 @@
    SVD (a Gaussian sketch, one power iteration, a Rayleigh-Ritz step) finds its leading right singular vectors: executors
    add up the products of their passages, the driver only holds words times RANK numbers.
    Only informative words count: those that are rare in the corpus, and the rarest of each item.
-3. Windows of each text are compared with the items by the cosine of their latent vectors.
+3. Windows of each text are compared with the items by the cosine of their latent vectors; beside that, places where a
+   run of words long enough for the verdict is the same are looked up exactly.
 4. Candidates stay if the longest common subsequence holds enough of the item's words and its answer (the item's end) is
    found too, or if a long run of words is the same.
 """
@@ -26,9 +27,9 @@ from .words import PUNCTUATION, buffers, words
 
 PASSAGE, RANK, OVERSAMPLE = 32, 256, 16
 #: Words of the windows that are compared, and the cosine of a candidate.
-WINDOWS, COSINE = (24, 64), 0.45
+WINDOWS, COSINE = (24, 64), 0.35
 #: A word in more than this part of the passages says nothing, unless an item would have less than LEAST others.
-COMMON, LEAST = 0.0002, 8
+COMMON, LEAST = 0.002, 8
 #: Items compared by one SVD, and items whose words are looked up in one scan of the texts.
 ITEMS, SCAN_ITEMS = 200, 20_000
 
@@ -87,6 +88,37 @@ def judge(item: np.ndarray, texts: np.ndarray, verdict: Verdict) -> tuple[np.nda
     return ((share >= verdict.lcs) & (answer >= verdict.answer)) | (run >= verdict.run), share, answer, run
 
 
+def run_hashes(word: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
+    """Hash of the `length` words from each start."""
+    h = np.full(len(starts), 14695981039346656037, np.uint64)
+    for k in range(length):
+        h = (h ^ word[starts + k].astype(np.uint64)) * np.uint64(1099511628211)
+        h ^= h >> np.uint64(29)
+    return h
+
+
+def item_runs(items: list[np.ndarray], length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash, in order, and item of every run of `length` words of the items."""
+    hashes = [np.unique(run_hashes(w, np.arange(max(0, len(w) - length + 1)), length)) for w in items]
+    h, j = np.concatenate(hashes), np.repeat(np.arange(len(items)), [len(x) for x in hashes])
+    order = np.argsort(h, kind="stable")
+    return h[order], j[order]
+
+
+def _run_starts(row: np.ndarray, place: np.ndarray, word: np.ndarray, runs: tuple[np.ndarray, np.ndarray], length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hits at which a run of an item begins, and the item; where runs follow each other, the first."""
+    n = max(0, len(row) - length + 1)
+    starts = np.flatnonzero((row[:n] == row[len(row) - n :]) & (place[len(row) - n :] - place[:n] == length - 1))
+    h = run_hashes(word, starts, length)
+    low, high = np.searchsorted(runs[0], h), np.searchsorted(runs[0], h, "right")
+    count = high - low
+    at, item = np.repeat(starts, count), runs[1][np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())]
+    order = np.lexsort((at, item))
+    at, item = at[order], item[order]
+    new = np.concatenate([[True], (item[1:] != item[:-1]) | (at[1:] != at[:-1] + 1)])[: len(at)]
+    return at[new], item[new]
+
+
 def _places(vocabulary):
     """id, n_words, places (int32) and words (int32 numbers in the vocabulary) of each text."""
 
@@ -217,16 +249,18 @@ def informative(items: list[np.ndarray], df: np.ndarray, passages: int) -> tuple
     return idf, column
 
 
-def _chosen(column):
-    """_id, n and the informative hits (i_place, i_word) of each text; all its hits too if a window can hold an item."""
+def _chosen(model, least: int, length: int):
+    """_id, n and the informative hits (i_place, i_word) of each text; all its hits too if a window can hold an item or a run is there."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        column, runs = model.value
         row, place, word = _flat(batch)
-        good = np.flatnonzero(column.value[word] >= 0)
+        good = np.flatnonzero(column[word] >= 0)
         at = row[good].astype(np.int64) << 32 | place[good]
-        near = np.flatnonzero(np.searchsorted(at, at + max(WINDOWS)) - np.arange(len(at)) >= 3)
+        near = np.flatnonzero(np.searchsorted(at, at + max(WINDOWS)) - np.arange(len(at)) >= least)
         full = np.zeros(batch.num_rows, bool)
         full[row[good[near]]] = True
+        full[row[_run_starts(row, place, word, runs, length)[0]]] = True
         cut = np.searchsorted(row[good], np.arange(batch.num_rows + 1))
         pack = lambda x: pa.array([x[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary())
         keep = pa.array(full)
@@ -251,11 +285,11 @@ def latent_space(hits: DataFrame, items: list[np.ndarray], idf: np.ndarray, colu
     return basis @ vectors[:, top[energy[top] > 1e-9]] * by_column[:, None]
 
 
-def _search(model, verdict: Verdict):
+def _search(model, verdict: Verdict, least: int):
     """_id, item, cosine, lcs, answer, run, start, end (words) of each item found in a text, at its best window."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        items, numbers, column, loading, query = model.value
+        items, numbers, column, loading, query, runs = model.value
         row, place, word = _flat(batch)
         first = np.searchsorted(row, np.arange(batch.num_rows + 1))
         i_row, i_place, i_word = _flat(batch, ("i_place", "i_word"))
@@ -263,7 +297,7 @@ def _search(model, verdict: Verdict):
         found = [np.zeros((0, 4))]
         for width in WINDOWS:
             ends = np.searchsorted(at, at + width)
-            starts = np.flatnonzero(ends - np.arange(len(at)) >= 3)
+            starts = np.flatnonzero(ends - np.arange(len(at)) >= least)
             for s in (starts[lo : lo + 2048] for lo in range(0, len(starts), 2048)):
                 low, high = int(s[0]), int(ends[s[-1]])
                 total = np.zeros((high - low + 1, loading.shape[1]))
@@ -272,6 +306,13 @@ def _search(model, verdict: Verdict):
                 cosine = (x @ query) / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
                 i, j = np.nonzero(cosine >= COSINE)
                 found.append(np.stack([i_row[s[i]], j, cosine[i, j], i_place[s[i]]], 1))
+        hit, j = _run_starts(row, place, word, runs, verdict.run)
+        key = row[hit].astype(np.int64) << 32 | place[hit]
+        cosine = np.zeros(len(hit))
+        for k, (a, b) in enumerate(zip(np.searchsorted(at, key), np.searchsorted(at, key + max(WINDOWS)))):
+            x = loading[column[i_word[a:b]]].sum(0)
+            cosine[k] = x @ query[:, j[k]] / max(np.linalg.norm(x), 1e-12)
+        found.append(np.stack([row[hit], j, cosine, place[hit]], 1))
         every = np.concatenate(found)
         every = every[np.lexsort((every[:, 3], -every[:, 2], every[:, 1], every[:, 0]))]
         best = np.concatenate([[True], (every[1:, :2] != every[:-1, :2]).any(1)])[: len(every)]
@@ -324,10 +365,12 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
         for lo in range(0, len(numbered), ITEMS):
             block = [w for _, w in numbered[lo : lo + ITEMS]]
             idf, column = informative(block, df, passages)
-            hits = stored(arrow_map(places, _chosen(spark.sparkContext.broadcast(column)), f"_id {kind}, n long, i_place binary, i_word binary, place binary, word binary"), "hits")
+            least = max(1, min(3, *(int(np.ceil(verdict.lcs * len(w))) for w in block)))
+            runs = item_runs(block, verdict.run)
+            hits = stored(arrow_map(places, _chosen(spark.sparkContext.broadcast((column, runs)), least, verdict.run), f"_id {kind}, n long, i_place binary, i_word binary, place binary, word binary"), "hits")
             loading = latent_space(hits, block, idf, column)
             query = np.stack([loading[column[w[column[w] >= 0]]].sum(0) for w in block])
             query /= np.maximum(np.linalg.norm(query, axis=1, keepdims=True), 1e-12)
-            model = spark.sparkContext.broadcast((block, [i for i, _ in numbered[lo : lo + ITEMS]], column, loading, query.T))
-            found = found.unionByName(arrow_map(hits.where("octet_length(place) > 0"), _search(model, verdict), schema))
+            model = spark.sparkContext.broadcast((block, [i for i, _ in numbered[lo : lo + ITEMS]], column, loading, query.T, runs))
+            found = found.unionByName(arrow_map(hits.where("octet_length(place) > 0"), _search(model, verdict, least), schema))
     return found.select(F.col("_id").alias(id_col), F.col("item").alias("item_id"), "cosine", "lcs", "answer", "run", "start", "end")

@@ -72,3 +72,17 @@ def test_odd_rows(spark):
     assert got == sorted([(d, i) for d in (0, 3, 3) for i in (0, 7, 7)])
     assert decontam.find_contamination(docs.limit(0), bench).count() == 0
     assert decontam.find_contamination(docs, bench.limit(0)).count() == 0
+
+
+def test_every_run_of_13_to_20_words(spark):
+    items = [(r.item_id, r.text) for r in table(spark, SF, "benchmark").collect()]
+    filler = [r.text for r in table(spark, SF, "documents").limit(300).collect()]
+    r, planted, want = random.Random(5), [], set()
+    for i, t in items:
+        w = words(t)
+        for n in (13, 16, 20):
+            for s in range(0, len(w) - n + 1, 3):
+                planted.append((len(planted), f"{r.choice(filler)}\n{' '.join(w[s : s + n])}\n{r.choice(filler)}"))
+                want.add((len(planted) - 1, i))
+    got = decontam.find_contamination(spark.createDataFrame(planted, "doc_id long, text string"), table(spark, SF, "benchmark"))
+    assert len(want) > 900 and not want - {(x.doc_id, x.item_id) for x in got.collect()}
