@@ -7,8 +7,8 @@
    Only informative words count: those that are rare in the corpus, and the rarest of each item.
 3. Windows of each text are compared with the items by the cosine of their latent vectors; beside that, places where a
    run of words long enough for the verdict is the same are looked up exactly.
-4. Candidates stay if the longest common subsequence holds enough of the item's words and its answer (the item's end) is
-   found too, or if a long run of words is the same.
+4. Of each text and item, candidates are judged by falling cosine until one passes: the longest common subsequence holds
+   enough of the item's words and its answer (the item's end) is found too, or a long run of words is the same.
 """
 
 from __future__ import annotations
@@ -30,6 +30,8 @@ PASSAGE, RANK, OVERSAMPLE = 32, 256, 16
 WINDOWS, COSINE = (24, 64), 0.35
 #: A word in more than this part of the passages says nothing, unless an item would have less than LEAST others.
 COMMON, LEAST = 0.002, 8
+#: Rows of texts that are judged together.
+LOT = 2048
 #: Items compared by one SVD, and items whose words are looked up in one scan of the texts.
 ITEMS, SCAN_ITEMS = 200, 20_000
 
@@ -285,13 +287,22 @@ def latent_space(hits: DataFrame, items: list[np.ndarray], idf: np.ndarray, colu
     return basis @ vectors[:, top[energy[top] > 1e-9]] * by_column[:, None]
 
 
+def _spans(at: np.ndarray, place: np.ndarray, word: np.ndarray, row: np.ndarray, lo: np.ndarray, width: int) -> np.ndarray:
+    """Words of `width` places from lo of each row, -1 where none is known. at: row and place of every hit, in order."""
+    texts = np.full((len(row), width), -1, np.int32)
+    a, b = np.searchsorted(at, row << 32 | lo), np.searchsorted(at, (row << 32 | lo) + width)
+    which = np.repeat(np.arange(len(row)), b - a)
+    hit = np.arange(len(which)) + np.repeat(a - np.cumsum(b - a) + b - a, b - a)
+    texts[which, place[hit] - lo[which]] = word[hit]
+    return texts
+
+
 def _search(model, verdict: Verdict, least: int):
-    """_id, item, cosine, lcs, answer, run, start, end (words) of each item found in a text, at its best window."""
+    """_id, item, cosine, lcs, answer, run, start, end (words) of each item found in a text, at the best window that passes."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         items, numbers, column, loading, query, runs = model.value
         row, place, word = _flat(batch)
-        first = np.searchsorted(row, np.arange(batch.num_rows + 1))
         i_row, i_place, i_word = _flat(batch, ("i_place", "i_word"))
         at = i_row.astype(np.int64) << 32 | i_place
         found = [np.zeros((0, 4))]
@@ -314,22 +325,35 @@ def _search(model, verdict: Verdict, least: int):
             cosine[k] = x @ query[:, j[k]] / max(np.linalg.norm(x), 1e-12)
         found.append(np.stack([row[hit], j, cosine, place[hit]], 1))
         every = np.concatenate(found)
-        every = every[np.lexsort((every[:, 3], -every[:, 2], every[:, 1], every[:, 0]))]
-        best = np.concatenate([[True], (every[1:, :2] != every[:-1, :2]).any(1)])[: len(every)]
-        every = every[best][np.argsort(every[best][:, 1], kind="stable")]
+        every = every[np.lexsort((every[:, 3], -every[:, 2], every[:, 0], every[:, 1]))]
+        all_at, n = row.astype(np.int64) << 32 | place, batch.column("n").to_numpy()
         out = [[()] * 8]
         for part in np.split(every, np.flatnonzero(np.diff(every[:, 1])) + 1) if len(every) else []:
             item = items[int(part[0, 1])]
+            r, lo = part[:, 0].astype(np.int64), np.maximum(part[:, 3].astype(np.int64) - len(item), 0)
             width = max(WINDOWS) + 2 * len(item)
-            for lot in (part[lo : lo + 2048] for lo in range(0, len(part), 2048)):
-                r, lo = lot[:, 0].astype(np.int64), np.maximum(lot[:, 3].astype(np.int64) - len(item), 0)
-                texts = np.full((len(lot), width), -1, np.int64)
-                for k, (x, y) in enumerate(zip(r, lo)):
-                    a, b = first[x] + np.searchsorted(place[first[x] : first[x + 1]], [y, y + width])
-                    texts[k, place[a:b] - y] = word[a:b]
-                good, share, answer, run = judge(item, texts, verdict)
-                end = np.minimum(lo + width, batch.column("n").to_numpy()[r])
-                out.append([c[good] for c in (r, np.full(len(r), int(part[0, 1])), lot[:, 2], share, answer, run, lo, end)])
+            look = lambda r, lo, width: judge(item, _spans(all_at, place, word, r, lo, width), verdict)
+            _, one = np.unique(r << 32 | lo, return_index=True)
+            one.sort()
+            cells, cell = np.unique(r[one] << 32 | lo[one] // max(WINDOWS), return_inverse=True)
+            may = np.zeros(len(cells), bool)  # a window passes only if the stretch around it does
+            for x in range(0, len(cells), LOT):
+                c = cells[x : x + LOT]
+                may[x : x + LOT] = look(c >> 32, (c & 0xFFFFFFFF) * max(WINDOWS), width + max(WINDOWS))[0]
+            left, size = one[may[cell]], 1
+            while len(left):  # of each text the windows of largest cosine first, until one passes
+                begins = np.flatnonzero(np.concatenate([[True], r[left][1:] != r[left][:-1]]))
+                rank = np.arange(len(left)) - np.repeat(begins, np.diff(np.append(begins, len(left))))
+                now, done = left[rank < size], []
+                for lot in (now[x : x + LOT] for x in range(0, len(now), LOT)):
+                    good, *shares = look(r[lot], lo[lot], width)
+                    done.append(np.stack([lot[good], *(c[good] for c in shares)], 1))
+                done = np.concatenate(done)
+                done = done[np.unique(r[done[:, 0].astype(np.int64)], return_index=True)[1]]
+                w = done[:, 0].astype(np.int64)
+                out.append([r[w], part[w, 1], part[w, 2], *done[:, 1:].T, lo[w], np.minimum(lo[w] + width, n[r[w]])])
+                left = left[(rank >= size) & ~np.isin(r[left], r[w])]
+                size *= 4
         r, j, *rest = (np.concatenate(c) for c in zip(*out))
         kinds = (pa.float64(), pa.float64(), pa.float64(), pa.int64(), pa.int64(), pa.int64())
         cols = [batch.column("_id").take(pa.array(r.astype(np.int64))), pa.array([numbers[int(x)] for x in j], pa.int64()), *(pa.array(c, pa.float64()).cast(k) for c, k in zip(rest, kinds))]
@@ -339,7 +363,7 @@ def _search(model, verdict: Verdict, least: int):
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", verdict: Verdict | None = None) -> DataFrame:
-    """Rows (id, item_id, cosine, lcs, answer, run, start, end): an item found in a text, once at its best window (words).
+    """Rows (id, item_id, cosine, lcs, answer, run, start, end): an item found in a text, once at the best window (words) that passes.
 
     Whole texts are searched, with all items, in blocks of ITEMS. Null, empty and wordless texts or items match nothing;
     repeated rows match each; copies of an item match under each id, a null item id too. Empty tables give no rows. Only
@@ -371,6 +395,6 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
             loading = latent_space(hits, block, idf, column)
             query = np.stack([loading[column[w[column[w] >= 0]]].sum(0) for w in block])
             query /= np.maximum(np.linalg.norm(query, axis=1, keepdims=True), 1e-12)
-            model = spark.sparkContext.broadcast((block, [i for i, _ in numbered[lo : lo + ITEMS]], column, loading, query.T, runs))
+            model = spark.sparkContext.broadcast(([w.astype(np.int32) for w in block], [i for i, _ in numbered[lo : lo + ITEMS]], column, loading, query.T, runs))
             found = found.unionByName(arrow_map(hits.where("octet_length(place) > 0"), _search(model, verdict, least), schema))
     return found.select(F.col("_id").alias(id_col), F.col("item").alias("item_id"), "cosine", "lcs", "answer", "run", "start", "end")

@@ -86,3 +86,17 @@ def test_every_run_of_13_to_20_words(spark):
                 want.add((len(planted) - 1, i))
     got = decontam.find_contamination(spark.createDataFrame(planted, "doc_id long, text string"), table(spark, SF, "benchmark"))
     assert len(want) > 900 and not want - {(x.doc_id, x.item_id) for x in got.collect()}
+
+
+def test_decoys_do_not_hide_a_copy(spark):
+    items = [(r.item_id, r.text) for r in table(spark, SF, "benchmark").limit(20).collect()]
+    between = " ".join(f"filler{k}" for k in range(300))
+    docs, want = [], set()
+    for i, t in items:
+        w = words(t)
+        question, copy = w[: len(w) - len(w) // 4 - 1], w[: len(w) // 2] + "aside of some words here".split() + w[len(w) // 2 :]
+        for decoy in (question[:12], sorted(set(w), reverse=True)):
+            docs.append((len(docs), " ".join(decoy * 2) + f" {between} " + " ".join(copy) + f" {between} " + " ".join(decoy)))
+            want.add((len(docs) - 1, i))
+    got = decontam.find_contamination(spark.createDataFrame(docs, "doc_id long, text string"), table(spark, SF, "benchmark"))
+    assert not want - {(x.doc_id, x.item_id) for x in got.collect()}
