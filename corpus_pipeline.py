@@ -10,38 +10,47 @@ from siltstone.llm import bpe, decontam, jaccard, rules, secrets
 from siltstone.llm.shared import stored
 from siltstone.tables import table
 
-#: Ids of dropped documents up to this number are broadcast (some 16 bytes each); more are joined by a shuffle.
+#: Keys of dropped rows up to this number are broadcast (some 80 bytes each); more are joined by a shuffle.
 BROADCAST_ROWS = 500_000
 
 
-def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """The rows whose doc_id (null too) is not in `dropped`; the texts stay where they are if that is small."""
-    gone = stored(dropped.select(F.col("doc_id").alias("_gone")).distinct(), "dropped")
+def _keyed(docs: DataFrame) -> DataFrame:
+    """With _row, a digest of id, text and all other columns: rows have the same key only if they are equal."""
+    return docs.withColumn("_row", F.unhex(F.md5(F.to_json(F.struct(*docs.columns)))))
+
+
+def _without(keyed: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The rows whose _row is not in `dropped`; the texts stay where they are if that is small."""
+    gone = stored(dropped.select(F.col("_row").alias("_gone")).distinct(), "dropped")
     gone = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    return keyed.join(gone, F.col("_row") == F.col("_gone"), "left_anti")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep; of rows with one id, all go if one is rejected."""
-    verdicts = rules.quality_rules(docs, table(spark, sf_dir, "labels"))
-    return _without(docs, verdicts.where("not kept"))
+    """Documents that the quality rules keep, each row by its own verdict."""
+    keyed = _keyed(docs)
+    verdicts = rules.quality_rules(keyed, table(spark, sf_dir, "labels"), row_col="_row")
+    return _without(keyed, verdicts.where("not kept")).drop("_row")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, that with the smallest id; equal rows are one."""
-    groups = stored(jaccard.near_duplicates(docs), "groups")
-    first = F.col("component_id").eqNullSafe(F.col("doc_id"))
-    left = _without(docs, groups.groupBy("doc_id").agg(F.max(first).alias("first")).where("not first"))
-    again = stored(groups.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_again")), "again")
+    """One document of each group of near duplicates, that with the smallest id (null last); equal rows are one."""
+    keyed = _keyed(docs)
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")
+    groups = stored(jaccard.near_duplicates(keyed.select(place.alias("place"), "text"), "place"), "groups")
+    row = F.col("place._row").alias("_row")
+    left = _without(keyed, groups.where(F.col("component_id._row") != F.col("place._row")).select(row))
+    again = stored(groups.groupBy(row).count().where("count > 1").select(F.col("_row").alias("_again")), "again")
     if again.isEmpty():
-        return left
-    repeated = F.col("doc_id").eqNullSafe(F.col("_again"))
-    return left.join(again, repeated, "left_anti").unionByName(left.join(again, repeated, "left_semi").dropDuplicates(["doc_id", "text"]))
+        return left.drop("_row")
+    repeated = F.col("_row") == F.col("_again")
+    return left.join(again, repeated, "left_anti").unionByName(left.join(again, repeated, "left_semi").dropDuplicates(["_row"])).drop("_row")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark passage."""
-    return _without(docs, decontam.find_contamination(docs, table(spark, sf_dir, "benchmark")))
+    keyed = _keyed(docs)
+    return _without(keyed, decontam.find_contamination(keyed, table(spark, sf_dir, "benchmark"), id_col="_row")).drop("_row")
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

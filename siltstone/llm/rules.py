@@ -135,6 +135,7 @@ def quality_rules(
     risk: float = 0.05,
     error: float = 0.05,
     max_strata: int = 64,
+    row_col: str | None = None,
 ) -> DataFrame:
     """One row per input row: id, the counts of its whole text, base_failed, broken (rules that it breaks), kept.
 
@@ -142,17 +143,17 @@ def quality_rules(
     nor above a cutoff. The `max_strata` strata with most good labels get cutoffs of their own, the others share one set;
     null is a stratum like another. Without labels enough for a guarantee nothing is rejected beyond the base.
     A null or empty text has no words and fails the base; repeated rows get a row each; a null id has no label; an empty
-    table gives no rows. Other columns of docs may have any name. Labels of one id that differ count as not good.
+    table gives no rows. row_col, a key of rows, is returned too if given. Other columns of docs may have any name. Labels of one id that differ count as not good.
     """
 
     def counts(batch: pa.RecordBatch) -> pa.RecordBatch:
         got = measure(batch.column(2))
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(got[c]) for c in COUNTS)], ["_id", "_stratum", *COUNTS])
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(3), *(pa.array(got[c]) for c in COUNTS)], ["_id", "_stratum", "_row", *COUNTS])
 
-    source = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(stratum_col).cast("string"), F.lit("")).alias("_stratum"), F.col(text_col).cast("string").alias("_text"))
-    kind = source.schema["_id"].dataType.simpleString()
+    source = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(stratum_col).cast("string"), F.lit("")).alias("_stratum"), F.col(text_col).cast("string").alias("_text"), (F.col(row_col) if row_col else F.lit(None).cast("boolean")).alias("_row"))
+    kind, row_kind = (source.schema[c].dataType.simpleString() for c in ("_id", "_row"))
     base = F.expr("n_words < 20 or 100 * n_repeat_words > 30 * n_words")
-    rows = stored(arrow_map(source, counts, f"_id {kind}, _stratum string, {', '.join(f'{c} long' for c in COUNTS)}"), "rules")
+    rows = stored(arrow_map(source, counts, f"_id {kind}, _stratum string, _row {row_kind}, {', '.join(f'{c} long' for c in COUNTS)}"), "rules")
     good = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("_id")).agg(F.min("quality").alias("_q")).where("_q = 1").select("_id")
     held = stored(rows.where(~base).join(good, "_id").select("_stratum", *(_step(score).alias(name) for name, score in RULES.items())), "holdout")
     sizes = {r[0]: r[1] for r in held.groupBy("_stratum").count().orderBy(F.desc("count"), "_stratum").limit(max_strata).collect()}
@@ -161,7 +162,7 @@ def quality_rules(
     found = held.select(stratum.alias("_s"), F.explode(F.create_map(*(x for name in RULES for x in (F.lit(name), F.col(name))))).alias("rule", "bin")).groupBy("_s", "rule", "bin").count().collect()
     cutoffs = _cutoffs(found, {**sizes, None: 0}, risk, error)
     broken = F.array_compact(F.array(*(F.when(_step(score) > _lookup(cutoffs, stratum, name), F.lit(name)) for name, score in RULES.items())))
-    return rows.select(F.col("_id").alias(id_col), *COUNTS, base.alias("base_failed"), broken.alias("broken")).withColumn("kept", ~F.col("base_failed") & (F.size("broken") == 0))
+    return rows.select(F.col("_id").alias(id_col), *([F.col("_row").alias(row_col)] if row_col else []), *COUNTS, base.alias("base_failed"), broken.alias("broken")).withColumn("kept", ~F.col("base_failed") & (F.size("broken") == 0))
 
 
 def _step(score: str) -> Column:

@@ -50,3 +50,17 @@ def test_odd_rows(spark):
     empty = spark.createDataFrame([], docs.schema)
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SF).count() == 0
+
+
+def test_rows_stand_on_their_own(spark):
+    schema = table(spark, SF, "documents").select("doc_id", "text", "lang", "source", "n_chars").schema
+    item = table(spark, SF, "benchmark").first().text
+    long = lambda w: " ".join(f"{w}{i} {w}x{i}" for i in range(60))
+    frame = lambda rows: spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], schema)
+    texts = lambda d: sorted(((r.doc_id or 0), r.text) for r in d.collect())
+    a, b, c = long("alpha"), long("beta"), long("gamma")
+    assert texts(corpus_pipeline.quality(spark, frame([(None, a), (None, "short"), (7, b), (7, "short")]), SF)) == [(0, a), (7, b)]
+    assert texts(corpus_pipeline.decontaminate(spark, frame([(None, a), (None, item), (7, b), (7, item)]), SF)) == [(0, a), (7, b)]
+    near = frame([(1, a), (None, a + " more"), (None, b), (None, b + " more"), (7, c), (7, a + " again")])
+    got = texts(corpus_pipeline.near_duplicates(spark, near, SF))
+    assert [i for i, _ in got] == [0, 1, 7] and got[0][1] in (b, b + " more") and got[1:] == [(1, a), (7, c)]
