@@ -72,7 +72,8 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     _records(source, date, min_bytes).write.option("lineSep", "\r\n").option("maxRecordsPerFile", records_per_file).mode("errorifexists").text(path)
 
 
-_LENGTH = re.compile(rb"^content-length:[ \t]*(\d+)[ \t]*\r?$", re.I | re.M)
+#: A length of 19 digits or more is none: such a header is rejected as a candidate.
+_LENGTH = re.compile(rb"^content-length:[ \t]*(\d{1,18})[ \t]*\r?$", re.I | re.M)
 _FIELD = re.compile(rb"^([!-9;-~]+):[ \t]*(.*?)[ \t]*\r?$", re.M)
 _SCHEMA = "file string, split long, at long, seg long, body long, next long, exit long, type string, record string, target string, refers string, declared string, n long, digest string"
 
@@ -89,8 +90,6 @@ def _candidate(seg: bytes, at: int) -> dict:
     if not length:
         return row
     body, size = head + 4, int(length[1])
-    if size >= 1 << 62:
-        return row
     fields = {k.lower(): v.decode("utf-8", "replace") for k, v in _FIELD.findall(seg[:head])}
     row |= {"body": at + len(MAGIC) + body, "next": at + len(MAGIC) + body + size + 4, "type": fields.get(b"warc-type"), "record": fields.get(b"warc-record-id"), "target": fields.get(b"warc-target-uri"), "refers": fields.get(b"warc-refers-to"), "declared": fields.get(b"x-payload-length")}
     if row["type"] == "revisit":

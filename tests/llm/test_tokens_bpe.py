@@ -32,6 +32,24 @@ def test_safe_boundaries(text, size):
     assert bpe.encode(text, RANKS, P.PATTERN, size) == bpe.encoding(RANKS, P.PATTERN).encode_ordinary(text)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.sampled_from("ab é1.'s \n\t\r\x1c\x1f\x85\xa0\u2003\u3000"), max_size=60), st.integers(1, 9), st.integers(1, 6))
+def test_white_runs_are_single_matches(text, size, blank):
+    assert "".join(part for part, _ in bpe.stretches(text, blank)) == text
+    assert bpe.encode(text, RANKS, P.PATTERN, size, blank) == bpe.encoding(RANKS, P.PATTERN).encode_ordinary(text)
+
+
+def test_very_long_runs(spark):
+    runs = [" " * 1_000_000, "\n" * 3_000_000, "\r\n \t" * 500_000, "a" + " " * 10_000_000 + "b", "x\n\n" + "\u3000" * 400_000 + " y" + "\n" * 1_200_000, "!" * 3_000_000, "é" * 3_000_000]
+    docs = spark.createDataFrame(list(enumerate(runs)), "doc_id long, text string")
+    got = {r.doc_id: r for r in bpe.encode_digests(docs, RANKS, P.PATTERN).collect()}
+    for i, t in enumerate(runs):
+        assert got[i].decoded_sha256 == hashlib.sha256(t.encode()).hexdigest()
+    code = bpe.encoding(RANKS, P.PATTERN)
+    short = [t[: len(t) // 2] + t[len(t) // 2 :].replace(" " * 100_000, "") for t in ("a" + " " * 300_000 + "b", "\n" * 300_000 + "c", " " * 300_000)]
+    assert all(bpe.encode(t, RANKS, P.PATTERN) == code.encode_ordinary(t) for t in short)
+
+
 def test_word_hashes_agree_across_slices(monkeypatch):
     import siltstone.llm.words as w
 

@@ -19,8 +19,8 @@ def pages(spark, rows, parts=1):
 def test_round_trip_with_magic_inside(spark):
     random.seed(5)
     fake = "WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:999>\r\nContent-Length: 5\r\n\r\nhello\r\n\r\n"
-    texts = ["", None, "plain", "é" * 50, fake, "a" + fake * 3 + "z", "WARC/1.0\r\n", "x\r\n\r\nWARC/1.0\r\nContent-Length: 9999999999999999999999\r\n\r\n", "line\nline\r\n" * 300, fake + "WARC/1.0\r\nContent-Length: 100000\r\n\r\n"]
-    rows = [(i, f"http://h/{i}\r\nX: 1" if i % 3 else None, random.choice(texts) if i > 12 else texts[i % len(texts)] if i < 10 else f"page {i} " * i) for i in range(50)]
+    texts = ["", None, "plain", "é" * 50, fake, "a" + fake * 3 + "z", "WARC/1.0\r\n", "x\r\n\r\nWARC/1.0\r\nContent-Length: 9999999999999999999999\r\n\r\n", "x\r\n\r\nWARC/1.0\r\nContent-Length: " + "7" * 5_000 + "\r\n\r\n", "WARC/1.0\r\ncontent-length:" + "0" * 4_400 + "5\r\n\r\nhello", "line\nline\r\n" * 300, fake + "WARC/1.0\r\nContent-Length: 100000\r\n\r\n"]
+    rows = [(i, f"http://h/{i}\r\nX: 1" if i % 3 else None, random.choice(texts) if i > 14 else texts[i % len(texts)] if i < 12 else f"page {i} " * i) for i in range(50)]
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     try:
         for size in ("128m", "1500b", "301b"):
