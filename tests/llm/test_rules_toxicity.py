@@ -1,4 +1,5 @@
 import re
+import zlib
 from collections import Counter
 from math import comb
 
@@ -44,24 +45,69 @@ def test_exact_binomial():
     assert 0 < rules.binomial_at_most(990_000, 10**8, 0.01) < 1e-12
 
 
-def test_cutoff_is_safe_and_ordered():
-    rejected = np.array([900, 300, 20, 2, 0, 0])
-    assert rules.choose_cutoff(rejected, 1000, 0.05, 0.01) == 2
-    assert rules.choose_cutoff(rejected[:1] * 0, 10, 0.05, 0.01) is None
+def test_steps_are_safe_in_order():
+    assert rules.choose_step(np.array([0, 0, 2, 18, 280, 600]), 1000, 0.05, 0.01) == 4
+    assert rules.choose_step(np.array([0]), 10, 0.05, 0.01) == 0 and rules.choose_step(np.array([0]), 0, 0.05, 0.01) == 0
+    n = rules.least_holdout(0.05, 0.0125)
+    assert rules.binomial_at_most(0, n, 0.05) <= 0.0125 < rules.binomial_at_most(0, n - 1, 0.05)
+
+
+def test_path_turns_bad_documents_away_first():
+    rng = np.random.default_rng(3)
+    good = rng.random(4000) < 0.85
+    bins = rng.integers(0, 60, (4000, 3))
+    bins[~good, 1] += 200
+    bins[~good & (rng.random(4000) < 0.3), 1] = 30
+    path = rules.fit_path(bins, good)
+    index = path[np.arange(3), bins].min(1)
+    early = index < rules.LATE
+    assert early[~good].mean() > 0.65 and early[good].mean() < 0.02
+    for row in path:  # a higher score is never turned away later
+        assert (np.diff(row) <= 0).all()
+    assert len(np.unique(path[path < rules.LATE])) == (path < rules.LATE).sum()
+    assert (rules.fit_path(bins, np.ones(4000, bool)) == rules.LATE).all() and (rules.fit_path(bins[:0], good[:0]) == rules.LATE).all()
+
+
+def exact_at_most(k, n, p):
+    return sum(comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k + 1))
 
 
 def test_rules_over_the_whole_table(spark):
-    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
-    texts = {r.doc_id: r.text for r in docs.collect()}
-    rows = rules.quality_rules(docs, labels, risk=0.4, error=0.4, max_strata=1).collect()
-    assert len(rows) == len(texts)
-    for r in rows:
-        assert [r[c] for c in FIVE] == brute(texts[r.doc_id])
+    """Production parameters on the largest table: counts by brute force, cutoffs by trying every cutoff of each path."""
+    sf = "/root/testdata/sf0.1"
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    rows = {r.doc_id: r for r in rules.quality_rules(docs, labels).collect()}
+    texts = {r.doc_id: (r.text, r.lang) for r in docs.collect()}
+    assert set(rows) == set(texts)
+    for i, r in rows.items():
+        if i % 10 == 0:
+            assert [r[c] for c in FIVE] == brute(texts[i][0])
         assert r.base_failed == (r.n_words < 20 or 100 * r.n_repeat_words > 30 * r.n_words)
         assert r.kept == (not r.base_failed and not r.broken)
-    quality = {r.doc_id: r.quality for r in labels.collect()}
-    kept = {q: np.mean([r.kept or r.base_failed for r in rows if quality.get(r.doc_id) == q]) for q in (0, 1)}
-    assert kept[1] >= 1 - 0.4 and any(r.broken for r in rows)
+    quality = {r.doc_id: r.quality for r in labels.collect() if r.quality is not None}
+    scores = lambda r: [
+        min(1, r.n_symbols / max(r.n_words, 1)), r.n_dup_lines / max(r.n_lines, 1), r.n_repeat_words / max(r.n_words, 1), min(1, r.n_upper / max(r.word_chars, 1)),
+        min(1, r.word_chars / max(r.n_words, 1) / 32), 1 - r.n_distinct / max(r.n_words, 1), min(1, r.n_stops / max(r.n_words, 1) / 2),
+    ]
+    grid = {i: [int(-(-x * rules.BINS // 1)) for x in scores(r)] for i, r in rows.items() if not r.base_failed}
+    design = {i for i in grid if i in quality and zlib.crc32(str(i).encode()) % 4 == 0}
+    of = lambda ids: (np.array([grid[i] for i in ids]), np.array([quality[i] == 1 for i in ids]))
+    strata = sorted({lang for _, lang in texts.values()})
+    holdout = {s: [i for i in grid if quality.get(i) == 1 and i not in design and texts[i][1] == s] for s in strata}
+    level = 0.05 / sum(0.95 ** len(h) <= 0.05 for h in holdout.values())
+    for s in strata:
+        mine = [i for i in design if texts[i][1] == s]
+        path = rules.fit_path(*of(mine if len(mine) >= 100 else list(design)))
+        step = {i: min(path[k][b] for k, b in enumerate(grid[i])) for i in grid if texts[i][1] == s}
+        safe = 0
+        for t in range(int(path[path < rules.LATE].max()) + 1):
+            if exact_at_most(sum(step[i] <= t for i in holdout[s]), len(holdout[s]), 0.05) > level:
+                break
+            safe = t + 1
+        assert {i for i, x in step.items() if x < safe} == {i for i in step if rows[i].broken}, s
+        turned = [bool(rows[i].broken) for i in holdout[s]]
+        assert np.mean(turned) <= 0.05 and any(rows[i].broken for i in step)
+        assert np.mean([bool(rows[i].broken) for i in step if quality.get(i) == 0]) > 0.8
 
 
 def test_rules_odd_rows(spark):
