@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import json
+from html.entities import name2codepoint
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Character references by name: those of HTML 4 and the apostrophe.
+NAMED = {**name2codepoint, "apos": 39}
+_REFERENCE = r"&(?:#\d{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]*);|&|[^&]+"
+
 
 def _element(xml: Column, name: str) -> Column:
     """Trimmed text of the first element of a name, CDATA opened; empty if none."""
@@ -59,3 +66,25 @@ def link_score(initial: Column, score: Column, normalize: float = 1.0) -> dict[s
 def rank_norm(norm: Column, rank: Column) -> Column:
     """A length norm times the boost of a rank; ranks under one do not change it."""
     return norm * F.when(rank >= 1, F.log10(rank) + 1).otherwise(1.0)
+
+
+def _character(code: Column) -> Column:
+    """The character of a code point; U+FFFD if there is none."""
+    valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise("\ufffd")
+
+
+def unescape(text: Column) -> Column:
+    """Text with its character references (named, decimal, hexadecimal; each ended by a semicolon) decoded once. Unknown
+    names and lone ampersands stay; null stays null."""
+    names = F.from_json(F.lit(json.dumps({name: chr(code) for name, code in NAMED.items()})), "map<string,string>")
+
+    def one(part: Column) -> Column:
+        inside = F.substr(part, F.lit(2), F.length(part) - 2)
+        number = F.substr(inside, F.lit(2))
+        hexa = F.conv(F.substr(number, F.lit(2)), 16, 10).cast("long")
+        known = F.when(F.rlike(inside, F.lit("^#[xX]")), _character(hexa)).when(F.startswith(inside, F.lit("#")), _character(number.try_cast("long"))).otherwise(F.try_element_at(names, inside))
+        return F.when(F.startswith(part, F.lit("&")) & F.endswith(part, F.lit(";")), F.coalesce(known, part)).otherwise(part)
+
+    decoded = F.array_join(F.transform(F.regexp_extract_all(text, F.lit(_REFERENCE), F.lit(0)), one), "")
+    return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -10,8 +12,18 @@ from pyspark.sql import functions as F
 PARTS = r"^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
 #: Default ports by scheme.
 PORTS = {"http": "80", "https": "443", "ftp": "21"}
-#: Ordered substitutions of the regex normaliser: session ids, fragments, stray separators.
-SUBSTITUTIONS = ((r"[;_]?(?:l|j|bv_)?(?i:sid|phpsessid|sessionid)=[^?&#]*", ""), (r"#[^?&]*", ""), (r"\?&", "?"), (r"&{2,}", "&"), (r"[?&.]$", ""))
+#: The substitutions of the regex normaliser, in order (session ids, fragments, stray separators), and the
+#: optional one of default pages, which goes after the first.
+SUBSTITUTIONS = (
+    (r"([;_]?((?i)l|j|bv_)?((?i)sid|phpsessid|sessionid)=.*?)(\?|&|#|$)", "$4"),
+    (r"#.*?(\?|&|$)", "$1"),
+    (r"\?&", "?"),
+    (r"&{2,}", "&"),
+    (r"[\?&\.]$", ""),
+)
+DEFAULT_PAGES = (r"/((?i)index|default)\.((?i)js[pf]{1}?[afx]?|cgi|cfm|asp[x]?|[psx]?htm[l]?|php[3456]?)(\?|&|#|$)", "/$3")
+#: Second labels that make a public suffix with a country's two letters; further suffixes are a parameter.
+SECOND = "ac|co|com|edu|gob|go|gov|govt|gv|ltd|mil|ne|net|nom|or|org|plc|sch"
 
 
 def part(url: Column, name: str) -> Column:
@@ -29,14 +41,25 @@ def page(url: Column) -> Column:
     return F.lower(F.regexp_replace(url, r"[?#].*$", ""))
 
 
-def domain(url: Column) -> Column:
-    """The last two labels of the host."""
-    return F.regexp_extract(host(url), r"([^.]+\.[^.]+)$", 1)
+def _suffix_pattern(more: tuple[str, ...]) -> str:
+    listed = "".join(rf"{re.escape(x)}|" for x in sorted(more, key=len, reverse=True))
+    return rf"(?:{listed}(?:{SECOND})\.[a-z]{{2}}|[^.\d][^.]*)"
 
 
-def suffix(url: Column) -> Column:
-    """The last label of the host."""
-    return F.regexp_extract(host(url), r"\.([^.]+)$", 1)
+_NUMERIC = r"^(\d{1,3}\.){3}\d{1,3}$"
+
+
+def domain(url: Column, more: tuple[str, ...] = ()) -> Column:
+    """The label before the public suffix with it; a numeric host whole; what is only a suffix whole. more: further
+    suffixes of several labels."""
+    name = F.regexp_replace(host(url), r"\.$", "")
+    return F.when(F.rlike(name, F.lit(_NUMERIC)), name).otherwise(F.regexp_extract(name, rf"(?:^|\.)((?:[^.]+\.)?{_suffix_pattern(more)})$", 1))
+
+
+def suffix(url: Column, more: tuple[str, ...] = ()) -> Column:
+    """The public suffix: the last label, or two where a country has second labels; empty for a numeric host."""
+    name = F.regexp_replace(host(url), r"\.$", "")
+    return F.when(F.rlike(name, F.lit(_NUMERIC)), "").otherwise(F.regexp_extract(name, rf"(?:^|\.)({_suffix_pattern(more)})$", 1))
 
 
 def site(url: Column) -> Column:
@@ -56,28 +79,61 @@ def short_key(key: Column) -> Column:
     return F.concat_ws("::", bits[1], bits[2], bits[4])
 
 
-def normalize_basic(url: Column, depth: int = 6) -> Column:
-    """Trimmed, scheme and host lower-cased, no default port, no fragment, a path, no `..`, `.` or double slash.
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), where value is worked out once however often `use` mentions it, and is written once in the plan."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _fewer(segments: Column) -> Column:
+    return F.slice(segments, 1, F.greatest(F.size(segments) - 1, F.lit(0)))
+
+
+def _folded(path: Column, step: Callable[[Column, Column], Column], finish: Callable[[Column, Column], Column]) -> Column:
+    """An absolute path whose segments but the last go through `step`; `finish` joins what is left and the last."""
+    every = F.split(path, "/")
+    none = F.array().cast("array<string>")
+    return let(every, lambda e: finish(F.aggregate(F.slice(e, 2, F.greatest(F.size(e) - 2, F.lit(0))), none, step), F.element_at(e, -1)))
+
+
+def without_dots(path: Column) -> Column:
+    """A path without `.` and `..` segments, however nested (RFC 3986: 5.2.4)."""
+    step = lambda done, s: F.when(s == "..", _fewer(done)).when(s == ".", done).otherwise(F.concat(done, F.array(s)))
+
+    def finish(kept: Column, last: Column) -> Column:
+        end = F.array(F.when(last.isin(".", ".."), "").otherwise(last))
+        return F.concat(F.lit("/"), F.array_join(F.when(last == "..", F.concat(_fewer(kept), end)).otherwise(F.concat(kept, end)), "/"))
+
+    return let(path, lambda p: F.when(F.startswith(p, F.lit("/")) & F.contains(p, F.lit("/.")), _folded(p, step, finish)).otherwise(p))
+
+
+def _climbed(path: Column) -> Column:
+    """A path without `x/../`, where x is more than dots, and without `/../` at its beginning."""
+    real = lambda done: F.rlike(F.coalesce(F.try_element_at(done, F.lit(-1)), F.lit("")), F.lit("[^.]"))
+    step = lambda done, s: F.when((s == "..") & (F.size(done) == 0), done).when((s == "..") & real(done), _fewer(done)).otherwise(F.concat(done, F.array(s)))
+    finish = lambda kept, last: F.concat(F.lit("/"), F.array_join(F.concat(kept, F.array(last)), "/"))
+    return let(path, lambda p: F.when(F.contains(p, F.lit("/../")), _folded(p, step, finish)).otherwise(p))
+
+
+def normalize_basic(url: Column) -> Column:
+    """Trimmed, scheme and host lower-cased, no default port, no fragment, a path, no `x/../` or double slash in it.
 
-    `depth` bounds how many nested `..` are resolved. What is no URL stays but for the trimming.
+    `.` segments stay, and so does `/..` at the end. What is no URL stays but for the trimming.
     """
-    text = F.trim(url)
+    text = F.regexp_replace(url, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
     scheme = F.lower(part(text, "scheme"))
     port = F.regexp_extract(part(text, "authority"), r":(\d+)$", 1)
     default = F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for kv in PORTS.items() for x in kv)), scheme), F.lit(""))
-    path = F.when(part(text, "path") == "", "/").otherwise(part(text, "path"))
-    path = F.regexp_replace(path, "/{2,}", "/")
-    for _ in range(depth):
-        path = F.regexp_replace(path, r"^/\.\.(/|$)", "/")
-        path = F.regexp_replace(path, r"/(?:\.[^./][^/]*|[^./][^/]*|\.\.[^/]+)/\.\.(/|$)", "/")
+    path = F.regexp_replace(part(text, "path"), "^$", "/")
+    path = _climbed(F.regexp_replace(path, "/{2,}", "/"))
     query = F.when(F.contains(F.regexp_replace(text, "#.*$", ""), F.lit("?")), F.concat(F.lit("?"), part(text, "query"))).otherwise("")
     full = F.concat(scheme, F.lit("://"), host(text), F.when((port == "") | (port == default), "").otherwise(F.concat(F.lit(":"), port)), path, query)
     return F.when(F.regexp_like(text, F.lit(PARTS)), full).otherwise(text)
 
 
-def normalize_regex(url: Column) -> Column:
-    """The substitutions, in order."""
-    return reduce(lambda c, rule: F.regexp_replace(c, *rule), SUBSTITUTIONS, url)
+def normalize_regex(url: Column, default_pages: bool = False) -> Column:
+    """The substitutions, in order; default pages (index.html and such) are cut only if so asked."""
+    rules = SUBSTITUTIONS[:1] + ((DEFAULT_PAGES,) if default_pages else ()) + SUBSTITUTIONS[1:]
+    return reduce(lambda c, rule: F.regexp_replace(c, *rule), rules, url)
 
 
 def first_rule(url: Column, rules: list[tuple[bool, str]]) -> Column:

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 #: Letters or digits with _ and &, dotted acronyms, c++ and c#, single ideographs.
 TOKEN = r"(?:\p{L}\.){2,}|[cC](?:\+\+|#)|[\p{L}\p{N}_&]+"
-_IDEOGRAPH = r"([\x{4E00}-\x{9FFF}])"
+#: Ranges of characters that are tokens of their own (kana, jamo, ideographs).
+CJK = "\u3040-\u318f\u3300-\u337f\u3400-\u3d2d\u4e00-\u9fff\uf900-\ufaff"
+_IDEOGRAPH = f"([{CJK}])"
 
 
 def tokens(text: Column) -> Column:

@@ -7,49 +7,98 @@ from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.text_parts import unescape
+from ..functions.urls import host, let, without_dots
+
+
+#: Tags with links and the attribute that holds them.
+LINKS = {"a": "href", "area": "href", "form": "action", "frame": "src", "iframe": "src", "script": "src", "link": "href", "img": "src"}
+
+
+def _collapsed(text: Column) -> Column:
+    return F.trim(F.regexp_replace(text, r"\s+", " "))
+
+
+_VALUE = r"""\s*=\s*(?:"([^">]*)"|'([^'>]*)'|([^\s"'>]+))"""
+#: A tag with the attribute that holds its link, and the value.
+_LINK = "(?is)^<(?:" + "|".join(rf"""{tag}(?=[\s/])[^>]*?[\s/"']{attribute}""" for tag, attribute in LINKS.items()) + ")" + _VALUE
+
+
+def _value(tag: Column, pattern: str) -> Column:
+    """The value that a pattern with _VALUE finds in a tag, references decoded; empty if it finds none."""
+    return F.trim(unescape(F.concat(*(F.regexp_extract(tag, pattern, i) for i in (1, 2, 3)))))
+
 
 def title(html: Column) -> Column:
-    """The first title, white space collapsed."""
-    return F.trim(F.regexp_replace(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1), r"\s+", " "))
+    """The first title, references decoded, white space collapsed."""
+    return _collapsed(unescape(F.regexp_extract(html, r"(?is)<title(?:\s[^>]*)?>(.*?)</title>", 1)))
 
 
 def base(html: Column) -> Column:
     """The base address, empty if none."""
-    return F.regexp_extract(html, r"""(?i)<base[^>]+href=["']([^"']*)["']""", 1)
+    return _value(F.regexp_extract(html, r"(?is)<base\s[^>]*>", 0), r"""(?is)[\s/"']href""" + _VALUE)
 
 
 def text(html: Column) -> Column:
-    """Text without scripts, styles, comments and tags, white space collapsed; entities stay as they are."""
-    bare = F.regexp_replace(html, r"(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->", " ")
-    return F.trim(F.regexp_replace(F.regexp_replace(bare, r"(?s)<[^>]*>", " "), r"\s+", " "))
+    """Text without scripts, styles, comments and tags, character references decoded, white space collapsed."""
+    bare = F.regexp_replace(html, r"(?is)<script(?:\s[^>]*)?>.*?</script>|<style(?:\s[^>]*)?>.*?</style>|<!--.*?-->", " ")
+    return _collapsed(unescape(F.regexp_replace(bare, r"(?s)<[^>]*>", " ")))
+
+
+def outlinks(pages: DataFrame, use_form_action: bool = False) -> DataFrame:
+    """page_id, url, pos, tag, href, anchor of the links of a, area, frame, iframe, script, link and img tags, and of
+    forms if so asked, in page order; pos counts link tags. nofollow pages and links, and forms that post, have none.
+
+    The anchor of an a tag is its text up to the next a tag or its end; one with nothing inside is no link. A tag ends at
+    its first `>`. Comments and the code of scripts hold no links. A null page has none.
+    """
+    html = F.regexp_replace(F.regexp_replace("html", r"(?s)<!--.*?-->", ""), r"(?is)(<script(?:\s[^>]*)?>).*?(</script)", "$1$2")
+    names = "|".join(n for n in LINKS if use_form_action or n != "form")
+    found = F.regexp_extract_all(html, F.lit(rf"(?i)<(?:{names})(?=[\s/>])[^>]*>"), F.lit(0))
+    found = F.filter(found, lambda t: F.rlike(t, F.lit(r"(?i)^<a[\s/>]|[\s/\"'](?:href|src|action)\s*=")))
+    tags = F.transform(found, lambda t, i: F.struct(i.cast("bigint").alias("pos"), t.alias("tag")))
+    anchors = F.regexp_extract_all(html, F.lit(r"(?is)<a(?=[\s/>])[^>]*>(.*?)(?=<a[\s/>]|</a\s*>|$)"), F.lit(1))
+    is_a = lambda t: F.rlike(t["tag"], F.lit(r"(?i)^<a[\s/>]"))
+    with_text = F.zip_with(F.filter(tags, is_a), anchors, lambda t, inside: F.struct(t["pos"].alias("pos"), t["tag"].alias("tag"), inside.alias("inside")))
+    plain = F.transform(F.filter(tags, lambda t: ~is_a(t)), lambda t: F.struct(t["pos"].alias("pos"), t["tag"].alias("tag"), F.lit("-").alias("inside")))
+    rows = pages.where(~F.coalesce(robots(F.col("html"))["nofollow"], F.lit(False))).select("page_id", "url", F.explode(F.concat(with_text, plain)).alias("l"))
+    tag, name = F.col("l.tag"), F.lower(F.regexp_extract("l.tag", "^<([A-Za-z]+)", 1))
+    no_follow = F.rlike(tag, F.lit(r"""(?i)[\s/"']rel\s*=\s*["']?nofollow["'\s/>]"""))
+    posts = (name == "form") & F.rlike(tag, F.lit(r"""(?i)[\s/"']method\s*=\s*["']?post["'\s/>]"""))
+    kept = rows.where(F.rlike(tag, F.lit(_LINK)) & ~no_follow & ~posts & (F.length("l.inside") > 0))
+    anchor = F.when(name == "a", _collapsed(unescape(F.regexp_replace("l.inside", r"(?s)<[^>]*>", " ")))).otherwise("")
+    return kept.select("page_id", "url", F.col("l.pos").alias("pos"), name.alias("tag"), _value(tag, _LINK).alias("href"), anchor.alias("anchor"))
 
 
-def outlinks(pages: DataFrame) -> DataFrame:
-    """page_id, pos, href, anchor of the links of the a tags; nofollow pages have none."""
-    tags = F.regexp_extract_all("html", F.lit(r"""(?is)<a[^>]+href=["'][^"']*["'][^>]*>.*?</a>"""), F.lit(0))
-    links = pages.where(~robots(F.col("html"))["nofollow"]).select("page_id", "url", F.posexplode(tags).alias("pos", "tag"))
-    href = F.regexp_extract("tag", r"""(?is)href=["']([^"']*)["']""", 1)
-    anchor = F.trim(F.regexp_replace(F.regexp_replace("tag", r"(?s)<[^>]*>", " "), r"\s+", " "))
-    return links.select("page_id", "url", F.col("pos").cast("bigint").alias("pos"), href.alias("href"), anchor.alias("anchor"))
+def resolve(url: Column, href: Column) -> Column:
+    """The absolute address of a link on the page `url` (or its base address), by the rules of RFC 3986: 5.2.
 
+    Decided otherwise than by some crawlers: parameters (`;x`) of the page's address are part of its last segment, and a
+    link of a query alone keeps that segment.
+    """
+    page = r"^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(//[^/?#]*)?([^?#]*)(\?[^#]*)?"
+    parts = F.struct(*(F.regexp_extract(url, page, i).alias(n) for i, n in ((1, "scheme"), (2, "host"), (3, "path"), (4, "query"))), *(F.regexp_extract(href, r"^(//[^/?#]*)?([^?#]*)(.*)$", i).alias(n) for i, n in ((1, "to_host"), (2, "to"), (3, "rest"))))
 
-def resolve(url: Column, href: Column) -> Column:
-    """The absolute address of a link: absolute, from the host's root, or beside the page."""
-    root = F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
-    folder = F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(?:/[^?#]*/|/)?)", 1)
-    return F.when(F.regexp_like(href, F.lit("^[A-Za-z][A-Za-z0-9+.-]*:")), href).when(F.startswith(href, F.lit("/")), F.concat(root, href)).otherwise(F.concat(folder, href))
+    def joined(p: Column) -> Column:
+        root = F.concat(p["scheme"], F.lit(":"), p["host"])
+        merged = F.when(F.startswith(p["to"], F.lit("/")), p["to"]).otherwise(F.concat(F.regexp_replace(F.regexp_replace(p["path"], "^$", "/"), "[^/]*$", ""), p["to"]))
+        same = (p["to_host"] == "") & (p["to"] == "")
+        path = F.when(same, p["path"]).when(p["to_host"] != "", p["to"]).otherwise(merged)
+        query = F.when(same & ~F.startswith(p["rest"], F.lit("?")), p["query"]).otherwise("")
+        return F.concat(F.when(p["to_host"] != "", F.concat(p["scheme"], F.lit(":"), p["to_host"])).otherwise(root), F.when(same, path).otherwise(without_dots(path)), query, p["rest"])
+
+    return F.when(F.rlike(href, F.lit("^[A-Za-z][A-Za-z0-9+.-]*:")), href).otherwise(let(parts, joined))
 
 
 def outlink_policy(links: DataFrame, cap: int = 100, external_only: bool = False) -> DataFrame:
     """page_id, pos, to_url, anchor: no link to the page itself, none inside the host if so asked, at most `cap` by
-    page in order of place. The cap is a setting of the crawler."""
-    from pyspark.sql import Window as W
-
-    from ..functions.urls import host
-
-    out = links.withColumn("to_url", resolve(F.col("url"), F.col("href"))).where(F.col("to_url") != F.col("url"))
+    page in order of place. The cap is a setting of the crawler. Links go from the column base, if there is one with a
+    value, else from url."""
+    start = F.coalesce(F.nullif(F.col("base"), F.lit("")), F.col("url")) if "base" in links.columns else F.col("url")
+    out = links.withColumn("to_url", resolve(start, F.col("href"))).where(F.col("to_url") != F.col("url"))
     if external_only:
         out = out.where(host(F.col("to_url")) != host(F.col("url")))
     return out.withColumn("n", F.row_number().over(W.partitionBy("page_id").orderBy("pos"))).where(F.col("n") <= cap).select("page_id", "pos", "to_url", F.substring("anchor", 1, 100).alias("anchor"))
@@ -61,11 +110,20 @@ def meta(html: Column, name: str) -> Column:
 
 
 def robots(html: Column) -> dict[str, Column]:
-    """P5: noindex, nofollow, noarchive, no_cache flags, and the refresh target."""
+    """P5: noindex, nofollow, noarchive, no_cache flags, the refresh as it stands, its seconds (null if none) and target."""
     said = F.lower(meta(html, "robots"))
     none = F.contains(said, F.lit("none"))
     has = lambda w: none | F.contains(said, F.lit(w))
-    return {"noindex": has("noindex"), "nofollow": has("nofollow"), "noarchive": has("noarchive"), "no_cache": F.contains(F.lower(meta(html, "pragma")), F.lit("no-cache")), "refresh": meta(html, "refresh")}
+    refresh = meta(html, "refresh")
+    return {
+        "noindex": has("noindex"),
+        "nofollow": has("nofollow"),
+        "noarchive": has("noarchive"),
+        "no_cache": F.contains(F.lower(meta(html, "pragma")), F.lit("no-cache")),
+        "refresh": refresh,
+        "refresh_seconds": F.regexp_extract(refresh, r"^\s*(\d+)", 1).try_cast("int"),
+        "refresh_url": F.regexp_extract(refresh, r"(?i);\s*url\s*=\s*['\"]?([^'\"]*)", 1),
+    }
 
 
 def language(html: Column) -> Column:

@@ -13,6 +13,7 @@ from ..operators import crawl as C
 from ..operators import graph as G
 from ..operators import web as P
 from ..tables import table
+from .web import _LINKS
 
 
 def _links(spark, sf):
@@ -176,7 +177,7 @@ def hash_sample(spark, sf):
 
 
 _D = "d as (select doc_id, 'http://x/' || (doc_id % 700) as url, md5(text) as digest, n_chars % 50 as boost, doc_id % 17 as tstamp from documents)"
-_A = "links0 as (select page_id, url, regexp_extract_all(html, '(?is)<a[^>]+href=[\"''][^\"'']*[\"''][^>]*>.*?</a>') as tags from pages), l as (select url as from_url, regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) || regexp_extract(t, '(?is)href=[\"'']([^\"'']*)[\"'']', 1) as to_url, trim(regexp_replace(regexp_replace(t, '(?s)<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g')) as anchor from (select url, unnest(tags) as t from links0))"
+_A = f"{_LINKS}, l as (select url as from_url, regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) || href as to_url, anchor from outl)"
 _N = lambda c: f"'http://h' || ({c} % 23) || '.d' || ({c} % 7) || '.com/' || ({c})"
 _G = f"e0 as (select l_suppkey as f, l_partkey % (select max(s_suppkey) from supplier) + 1 as t, max(cast(l_quantity as bigint)) as q from lineitem group by all), g as (select {_N('f')} as from_url, {_N('t')} as to_url, 'part ' || (q % 5) as anchor, f, t from e0)"
 _H = lambda c: f"regexp_extract({c}, '://([^/]*)', 1)"

@@ -2,25 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from ..functions.annotate import annotate
 from ..streaming import ingest as N
-from ..tables import table
-
-
-def _shared(spark) -> str:
-    """A new folder that all executors share."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="siltstone-")
-    return f"{root}/stream-{uuid.uuid4().hex}"
+from ..tables import shared_folder, table
 
 
 def stream_ingest_counts(spark, sf):
     """Events through an ingesting stream, counted by type from the table it wrote."""
-    base = _shared(spark)
+    base = shared_folder(spark, "stream")
     N.ingest(N.first_only(N.stream(spark, sf)), f"{base}/out", f"{base}/checkpoint").awaitTermination()
     return spark.read.schema(N.EVENTS).parquet(f"{base}/out").groupBy("event_type").agg(F.count("*").alias("n"))
 

@@ -10,8 +10,9 @@ from ..operators import indexing as X
 from ..operators import search as S
 from ..operators import text as T
 from ..operators import web as P
-from ..tables import table
+from ..tables import table, written
 from .graph import _A, _links
+from .web import _TEXT, _TITLE
 
 QUERY = 'the "of the" -title:der'
 
@@ -71,7 +72,10 @@ def language_field(spark, sf):
 def _index(spark, sf):
     p = table(spark, sf, "pages").withColumnRenamed("page_id", "doc_id")
     h = F.col("html")
-    return S.postings(p, {"title": P.title(h), "content": P.text(h), "host": U.host(F.col("url")), "url": F.col("url")})
+    anchors = _links(spark, sf).groupBy(F.col("to_url").alias("url")).agg(F.array_join(F.array_sort(F.collect_set("anchor")), " ").alias("anchor"))
+    p = p.join(anchors, "url", "left")
+    index = S.postings(p, {"title": P.title(h), "content": P.text(h), "host": U.host(F.col("url")), "url": F.col("url"), "anchor": F.col("anchor")})
+    return written(index, "postings", "part")
 
 
 def search_terms(spark, sf):
@@ -99,7 +103,7 @@ def search_filters(spark, sf):
 
 
 def index_prune(spark, sf):
-    return S.prune(_index(spark, sf), ["content:der", "host:m"]).groupBy("doc_id").agg(F.count("*").alias("tokens"))
+    return S.prune(_index(spark, sf), ["content:der", "host:m"]).groupBy("doc_id").agg(F.sum(F.size("positions")).alias("tokens"))
 
 
 def index_config(spark, sf):
@@ -108,6 +112,7 @@ def index_config(spark, sf):
 
 
 def summaries(spark, sf):
+    """X7 over whole texts; brute force in the tests."""
     return S.summaries(_docs(spark, sf), 'the "of that"')
 
 
@@ -137,8 +142,8 @@ def segment_listing(spark, sf):
 _TOK = f"list_transform(regexp_extract_all(text, '{T.TOKEN}'), lambda t: lower(replace(t, '.', '')))"
 _GRAMS = "select {key}, substr(w, cast(i as bigint), 3) as gram from (select {key}, '_' || unnest(regexp_extract_all(lower(text), '\\p{{L}}+')) || '_' as w from documents) z, lateral (select unnest(range(1, greatest(length(w) - 1, 2))) as i)"
 _PROFILE = lambda top: f"pc as (select lang, gram, count(*) as c from ({_GRAMS.format(key='lang')}) group by all), prof as (select lang, gram, c / sum(c) over (partition by lang) as freq from pc qualify row_number() over (partition by lang order by c desc, gram) <= {top})"
-_POST = rf"""pg as (select page_id as doc_id, unnest(['title', 'content', 'host', 'url']) as field, unnest([trim(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '\s+', ' ', 'g')),
-trim(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')), lower(regexp_extract(url, '://([^/?#:]*)', 1)), url]) as text from pages),
+_POST = rf"""{_A}, an as (select to_url as url, array_to_string(list_sort(list_distinct(list(anchor))), ' ') as anchor from l group by 1), pg as (select page_id as doc_id, unnest(['title', 'content', 'host', 'url', 'anchor']) as field, unnest([{_TITLE},
+{_TEXT}, lower(regexp_extract(url, '://([^/?#:]*)', 1)), url, anchor]) as text from pages left join an using (url)),
 tk as (select doc_id, field, {_TOK} as t from pg), post as (select doc_id, field, i - 1 as pos, t[i] as term from tk, range(1, 200000) r(i) where i <= len(t)), lens as (select doc_id, field, count(*) as n from post group by all)"""
 _BOOST = "case field when 'url' then 4.0::double when 'anchor' then 2 when 'content' then 1 when 'title' then 1.5 when 'host' then 2 end"
 _HIT = lambda i, term, field="": f"select doc_id, field, count(*) as tf, {i} as clause from post where term = '{term}'{f" and field = '{field}'" if field else ''} group by all"
@@ -167,8 +172,8 @@ p as (select doc_id, string_agg(t || ' ' || k, chr(10) order by k desc, t) as pr
     "search_filters": "select page_id, d between '20140500000000' and '20140599999999' as may, d between '20140000000000' and '20150000000000' as years, d between '20140101000000' and '20140600000000' as half, suffix in ('com', 'org') as grouped from (select page_id, '2014' || lpad(cast(page_id % 12 + 1 as varchar), 2, '0') || '15000000' as d, regexp_extract(url, '://[^/?#:]*\\.([^/?#:.]+)', 1) as suffix from pages)",
     "index_prune": f"with {_POST} select doc_id, count(*) as tokens from post where doc_id not in (select doc_id from post where (field = 'content' and term = 'der') or (field = 'host' and term = 'm')) group by 1",
     "index_config": "select doc_id, lang as language, lower(source) as source, 'web' as collection from documents",
-    "index_assembly": rf"""with {_A}, i as (select to_url as url, count(*) as inlinks from l group by 1) select p.url, trim(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '\s+', ' ', 'g')) as title, 's' || (page_id % 4) as segment, md5(html) as signature, page_id % 6 + 1 as status, page_id * 10 as fetched, coalesce(inlinks, 0) as inlinks,
-length(trim(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g'), '\s+', ' ', 'g'))) as text_length from pages p left join i on p.url = i.url where not contains(p.url, 'ref=') and regexp_matches(html, '(?is)<title[^>]*>.*?</title>')""",
+    "index_assembly": rf"""with {_A}, i as (select to_url as url, count(*) as inlinks from l group by 1) select p.url, {_TITLE} as title, 's' || (page_id % 4) as segment, md5(html) as signature, page_id % 6 + 1 as status, page_id * 10 as fetched, coalesce(inlinks, 0) as inlinks,
+length({_TEXT}) as text_length from pages p left join i on p.url = i.url where not contains(p.url, 'ref=') and regexp_matches(html, '(?is)<title[^>]*>.*?</title>')""",
     "custom_fields": "select url, 'tag' as name, url[:5] as content, round(case when page_id % 2 = 0 then page_id / 4 else 0 end, 6) as score from pages where starts_with(url, 'https')",
     "segment_listing": "select 'seg' || (page_id % 3) as segment, case when page_id % 2 = 0 then 'content' else 'parse_text' end as part, count(*) as n, min(url) as first_key, max(url) as last_key from pages group by all",
 }

@@ -23,7 +23,7 @@ def _pages(spark, sf):
 def _messy(spark, sf):
     """Every URL in a form that the normalisers change."""
     u = F.col("url")
-    messy = F.concat(F.lit(" "), F.upper(F.regexp_extract(u, "^([a-z]+)://", 1)), F.lit("://"), F.upper(U.part(u, "authority")), F.when(F.startswith(u, F.lit("https")), ":443").otherwise(":8080"), F.lit("/a/../x//b/./../"), F.regexp_replace(U.part(u, "path"), "^/", ""), F.lit("?&q=1&&jsessionid=ab12&z=2#frag "))
+    messy = F.concat(F.lit(" "), F.upper(F.regexp_extract(u, "^([a-z]+)://", 1)), F.lit("://"), F.upper(U.part(u, "authority")), F.when(F.startswith(u, F.lit("https")), ":443").otherwise(":8080"), F.lit("/a/../x//b/./../c/../"), F.regexp_replace(U.part(u, "path"), "^/", ""), F.lit("?&q=1&&jsessionid=ab12&z=2#frag "))
     return _pages(spark, sf).select("page_id", messy.alias("raw"))
 
 
@@ -88,11 +88,20 @@ def html_text(spark, sf):
 
 
 def html_outlinks(spark, sf):
-    return P.outlinks(_pages(spark, sf)).select("page_id", "pos", "href", "anchor")
+    return P.outlinks(_pages(spark, sf)).select("page_id", "pos", "tag", "href", "anchor")
+
+
+def html_outlinks_all_tags(spark, sf):
+    """P4 over pages with one link tag of every kind more, quoted, unquoted and not to be followed; with base and resolution."""
+    n = F.col("page_id").cast("string")
+    more = F.concat(F.lit("<base href='../b/c?x'><area href='/ar"), n, F.lit("'><img src=pic.png alt='&lt;a&gt;'><a href=un/quoted?a=1&amp;b=2>un <i>quoted</i></a><iframe src='//cdn.x/../y/./z'></iframe><frame src='../z'><link rel='x' href='#top'><script src=\"?q=1\">'<a href=\"/no\">no</a>'</script><a href='/gone' rel=nofollow>gone</a><!-- <a href='/off'>off</a> --><form method=post action='/p'></form><form action='/g'>go</form><a href='/empty'></a><a href='/last'>last &copy;</a>"))
+    pages = _pages(spark, sf).select("page_id", "url", F.concat(more, "html").alias("html"))
+    links = P.outlinks(pages, use_form_action=True).join(pages.select("page_id", P.base(F.col("html")).alias("base")), "page_id")
+    return links.where("pos < 13").select("page_id", "pos", "tag", "anchor", P.resolve(P.resolve(F.col("url"), F.col("base")), F.col("href")).alias("to_url"))
 
 
 def outlink_policy(spark, sf):
-    return P.outlink_policy(P.outlinks(_pages(spark, sf)), cap=3)
+    return P.outlink_policy(P.outlinks(_pages(spark, sf)), cap=100)
 
 
 def text_urls(spark, sf):
@@ -120,19 +129,22 @@ def main_text(spark, sf):
 _P = r"^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
 _HOST = f"lower(regexp_replace(regexp_replace(regexp_extract(url, '{_P}', 2), '^.*@', ''), ':\\d*$', ''))"
 _D14 = "'20160101' || lpad(cast(page_id % 24 as varchar), 2, '0') || lpad(cast(page_id % 60 as varchar), 2, '0') || lpad(cast(page_id % 59 as varchar), 2, '0')"
-_RAW = f"select page_id, ' ' || upper(regexp_extract(url, '{_P}', 1)) || '://' || upper(regexp_extract(url, '{_P}', 2)) || case when starts_with(url, 'https') then ':443' else ':8080' end || '/a/../x//b/./../' || regexp_replace(regexp_extract(url, '{_P}', 3), '^/', '') || '?&q=1&&jsessionid=ab12&z=2#frag ' as raw from pages"
+_RAW = f"select page_id, ' ' || upper(regexp_extract(url, '{_P}', 1)) || '://' || upper(regexp_extract(url, '{_P}', 2)) || case when starts_with(url, 'https') then ':443' else ':8080' end || '/a/../x//b/./../c/../' || regexp_replace(regexp_extract(url, '{_P}', 3), '^/', '') || '?&q=1&&jsessionid=ab12&z=2#frag ' as raw from pages"
+_DECODED = lambda x: f"replace(replace(replace(replace({x}, '&middot;', '·'), '&copy;', '©'), '&quot;', '\"'), '&amp;', '&')"  # noqa: E731  the references that occur
+_TITLE = rf"trim(regexp_replace({_DECODED("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")}, '\s+', ' ', 'g'))"
 _TEXT = r"trim(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g'), '\s+', ' ', 'g'))"
+_TEXT = _DECODED(_TEXT)
 _META = lambda n: rf"""regexp_extract(html, '(?is)<meta[^>]+(?:name|http-equiv)=["'']{n}["''][^>]*content=["'']([^"'']*)["'']', 1)"""
 _LINKS = rf"""links as (select page_id, url, i - 1 as pos, tags[i] as tag from (select page_id, url, regexp_extract_all(html, '(?is)<a[^>]+href=["''][^"'']*["''][^>]*>.*?</a>') as tags from pages where not regexp_matches(lower({_META('robots')}), 'none|nofollow')) p, range(1, 100000) r(i) where i <= len(tags)),
-outl as (select page_id, url, pos, regexp_extract(tag, '(?is)href=["'']([^"'']*)["'']', 1) as href, trim(regexp_replace(regexp_replace(tag, '(?s)<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')) as anchor from links)"""
+outl as (select page_id, url, pos, {_DECODED("""regexp_extract(tag, '(?is)href=["'']([^"'']*)["'']', 1)""")} as href, trim(regexp_replace({_DECODED("regexp_replace(tag, '(?s)<[^>]*>', ' ', 'g')")}, '\s+', ' ', 'g')) as anchor from links)"""
 _SCRIPTS = "array_to_string(regexp_extract_all(html, '(?is)<script[^>]*>(.*?)</script>', 1), chr(10))"
 
-QUERIES = {f.__name__: f for f in (page_key, url_parts, url_normalize_basic, url_normalize_regex, url_filters, exclusion_triple, status_filter, subcollection, html_fields, html_text, html_outlinks, outlink_policy, text_urls, mime_dispatch, redirect_representative, main_text)}
+QUERIES = {f.__name__: f for f in (page_key, url_parts, url_normalize_basic, url_normalize_regex, url_filters, exclusion_triple, status_filter, subcollection, html_fields, html_text, html_outlinks, html_outlinks_all_tags, outlink_policy, text_urls, mime_dispatch, redirect_representative, main_text)}
 SQL = {
     "page_key": f"select page_id, proto || '::' || host || '::' || path || '::' || q || '::' || d as key, host || '::' || path || '::' || d as short_key from (select page_id, lower(regexp_extract(url, '{_P}', 1)) as proto, {_HOST} as host, regexp_extract(url, '{_P}', 3) as path, case when contains(url, '?') then regexp_extract(url, '{_P}', 4) else 'null' end as q, {_D14} as d from pages)",
     "url_parts": f"select page_id, host, lower(regexp_replace(url, '[?#].*$', '')) as page, regexp_extract(host, '([^.]+\\.[^.]+)$', 1) as domain, regexp_extract(host, '\\.([^.]+)$', 1) as suffix, regexp_replace(host, '^www\\.', '') as site, regexp_extract(url, '{_P}', 4) as query, regexp_extract(url, '{_P}', 5) as fragment from (select page_id, url, {_HOST} as host from pages)",
     "url_normalize_basic": f"""with m as ({_RAW}) select page_id, raw, lower(regexp_extract(trim(raw), '{_P}', 1)) || '://' || lower(regexp_replace(regexp_extract(trim(raw), '{_P}', 2), ':\\d+$', '')) || case when ends_with(regexp_extract(trim(raw), '{_P}', 2), ':443') then '' else ':8080' end
-|| regexp_replace(regexp_extract(trim(raw), '{_P}', 3), '^/a/\\.\\./x//b/\\./\\.\\./', '/x/b/./../') || '?' || regexp_extract(trim(raw), '{_P}', 4) as normal from m""",
+|| regexp_replace(regexp_extract(trim(raw), '{_P}', 3), '^/a/\\.\\./x//b/\\./\\.\\./c/\\.\\./', '/x/b/./../') || '?' || regexp_extract(trim(raw), '{_P}', 4) as normal from m""",
     "url_normalize_regex": f"with m as ({_RAW}) select page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(trim(raw), 'jsessionid=[^?&#]*', '', 'g'), '#[^?&]*', '', 'g'), '\\?&', '?', 'g'), '&{{2,}}', '&', 'g') as normal from m",
     "url_filters": f"""with f as (select page_id, url, not regexp_matches(url, '^(file|ftp|mailto):') and not regexp_matches(url, '\\.(gif|jpg|png|css|zip)$') and not regexp_matches(url, '[*!@]') and contains(url, 'example') as rules,
 not regexp_full_match(url, '.*\\?.*ref=x|https://.*#top') as not_denied, starts_with(url, 'http://') or starts_with(url, 'https://m.') as prefix, not (ends_with(url, '#top') or ends_with(url, 'x') or ends_with(url, '5')) as suffix_ok,
@@ -142,14 +154,19 @@ select page_id, rules, not_denied, prefix, suffix_ok, path_suffix, in_domain, va
     "exclusion_triple": f"select page_id, canonical from (select page_id, lower(regexp_extract(url, '{_P}', 1)) || '://' || {_HOST} || case when regexp_extract(url, '{_P}', 3) = '' then '/' else regexp_extract(url, '{_P}', 3) end || case when contains(regexp_replace(url, '#.*$', ''), '?') then '?' || regexp_extract(url, '{_P}', 4) else '' end as canonical from pages) where not regexp_matches(canonical, '\\.(net|org)/')",
     "status_filter": "select event_id, status from (select event_id, cast([200, 206, 304, 404, 500, -1][event_id % 6 + 1] as bigint) as status from events) where status between 200 and 299 or status in (304, -1)",
     "subcollection": "select page_id, not (contains(url, '?page') or contains(url, 'example.org')) and (contains(url, '/en') or contains(url, '/de')) as member from pages",
-    "html_fields": rf"""select page_id, trim(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '\s+', ' ', 'g')) as title, regexp_extract(html, '(?i)<base[^>]+href=["'']([^"'']*)["'']', 1) as base,
+    "html_fields": rf"""select page_id, {_TITLE} as title, regexp_extract(html, '(?i)<base[^>]+href=["'']([^"'']*)["'']', 1) as base,
 lower(coalesce(nullif(regexp_extract(html, '(?i)<html[^>]+lang=["'']([A-Za-z]{{2}})', 1), ''), nullif({_META('dc.language')}, ''), nullif({_META('content-language')}, ''))) as lang,
 coalesce(nullif(regexp_extract(html, '(?i)<license[^>]+rdf:resource=["'']([^"'']+)["'']', 1), ''), nullif(regexp_extract(html, '(?i)rel=["'']license["''][^>]*href=["'']([^"'']+)["'']', 1), ''), nullif(regexp_extract(html, '(?i)href=["''](https?://(?:www\.)?creativecommons\.org/licenses/[^"'']+)["'']', 1), '')) as licence,
 array_to_string(list_sort(list_distinct(list_transform(regexp_extract_all(html, '(?i)<a[^>]+rel=["'']tag["''][^>]*href=["'']([^"'']+)["'']', 1), lambda x: regexp_extract(x, '([^/]+)/?$', 1)))), ',') as tags,
 regexp_matches(lower({_META('robots')}), 'none|noindex') as noindex, regexp_matches(lower({_META('robots')}), 'none|nofollow') as nofollow, regexp_matches(lower({_META('robots')}), 'none|noarchive') as noarchive, contains(lower({_META('pragma')}), 'no-cache') as no_cache, {_META('refresh')} as refresh from pages""",
     "html_text": f"select page_id, {_TEXT} as text from pages",
-    "html_outlinks": f"with {_LINKS} select page_id, pos, href, anchor from outl",
-    "outlink_policy": f"with {_LINKS} select page_id, pos, to_url, anchor[:100] as anchor from (select page_id, pos, case when starts_with(href, '/') then regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) || href else href end as to_url, anchor, url from outl) where to_url <> url qualify row_number() over (partition by page_id order by pos) <= 3",
+    "html_outlinks": f"with {_LINKS} select page_id, pos, 'a' as tag, href, anchor from outl",
+    "html_outlinks_all_tags": f"""with {_LINKS}, u as (select page_id, regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) as root, regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1) as path from pages where not regexp_matches(lower({_META("robots")}), 'none|nofollow')),
+b as (select page_id, root, case when len(s) > 3 then array_to_string(s[1:len(s) - 2], '/') || '/b/' else '/b/' end as folder from (select page_id, root, string_split(case when path = '' then '/' else path end, '/') as s from u)),
+m as (select page_id, unnest([0, 1, 2, 3, 4, 5, 6, 9, 11]) as pos, unnest(['area', 'img', 'a', 'iframe', 'frame', 'link', 'script', 'form', 'a']) as tag, unnest(['', '', 'un quoted', '', '', '', '', '', 'last ©']) as anchor,
+unnest([root || '/ar' || page_id, root || folder || 'pic.png', root || folder || 'un/quoted?a=1&b=2', split_part(root, ':', 1) || '://cdn.x/y/z', root || regexp_replace(folder, 'b/$', '') || 'z', root || folder || 'c?x#top', root || folder || 'c?q=1', root || '/g', root || '/last']) as to_url from b)
+select page_id, cast(pos as bigint) as pos, tag, anchor, to_url from m union all select page_id, pos + 12, 'a', anchor, root || href from outl join b using (page_id) where pos + 12 < 13""",
+    "outlink_policy": f"with {_LINKS} select page_id, pos, to_url, anchor[:100] as anchor from (select page_id, pos, case when starts_with(href, '/') then regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) || href else href end as to_url, anchor, url from outl) where to_url <> url qualify row_number() over (partition by page_id order by pos) <= 100",
     "text_urls": rf"""select page_id, array_to_string(regexp_extract_all(url || ' ' || {_TEXT}, '(?:https?|ftp|file)://[A-Za-z0-9$_.+!*''(),;/?:@&~=%#-]+'), ' ') as urls, array_to_string(regexp_extract_all({_SCRIPTS}, '["'']((?:https?://|/)[^"''\s<>\\]+)["'']', 1), ' ') as script_urls, {_SCRIPTS} as scripts from pages""",
     "mime_dispatch": """select page_id, mime, mime || ' ' || split_part(mime, '/', 1) || ' ' || split_part(mime, '/', 2) as terms, case when mime in ('text/html', 'application/xhtml+xml') then 'html' when contains(mime, 'rss') then 'feed' when contains(mime, 'javascript') then 'script' when starts_with(mime, 'text/') then 'text' else 'none' end as parser
 from (select page_id, ['text/html', 'application/xhtml+xml', 'application/rss+xml', 'text/javascript', 'text/plain', 'image/png'][page_id % 6 + 1] as mime from pages)""",
