@@ -59,12 +59,50 @@ def answer_of(item: np.ndarray) -> np.ndarray:
     return item[-max(3, len(item) // 4) :]
 
 
+def shared_words(item: np.ndarray, texts: np.ndarray) -> np.ndarray:
+    """Words that the item and each row of texts have in common, repeated ones as often as both have them: lcs is no more."""
+    known, times = np.unique(item, return_counts=True)
+    if not len(known) or not len(texts):
+        return np.zeros(len(texts), np.int64)
+    at = np.minimum(np.searchsorted(known, texts), len(known) - 1)
+    row, column = np.nonzero(known[at] == texts)
+    met = np.bincount(row * len(known) + at[row, column], minlength=len(texts) * len(known)).reshape(len(texts), len(known))
+    return np.minimum(met, times).sum(1)
+
+
 def lcs(item: np.ndarray, texts: np.ndarray) -> np.ndarray:
-    """Length of the longest common subsequence of the item with each row of texts, a word of the item at a time."""
-    row = np.zeros((len(texts), texts.shape[1] + 1), np.int32)
-    for x in item:
-        row[:, 1:] = np.maximum.accumulate(np.maximum(row[:, 1:], row[:, :-1] + (texts == x)), axis=1)
-    return row[:, -1]
+    """Length of the longest common subsequence of the item with each row of texts.
+
+    Bit-parallel: bit i of a row's vector is 0 where the row of the dynamic programme grows at word i of the item; each
+    word of the texts that the item has is an addition with carry over the item's words, 64 at a time, for all rows at once.
+    """
+    rows, m = len(texts), len(item)
+    if not m or not rows:
+        return np.zeros(rows, np.int64)
+    known, place = np.unique(item, return_inverse=True)
+    masks = np.zeros((len(known) + 1, -(-m // 64)), np.uint64)
+    np.bitwise_or.at(masks, (place, np.arange(m) // 64), np.uint64(1) << (np.arange(m) % 64).astype(np.uint64))
+    at = np.minimum(np.searchsorted(known, texts), len(known) - 1)
+    row, column = np.nonzero(known[at] == texts)
+    begins = np.searchsorted(row, np.arange(rows))
+    order = np.arange(len(row)) - begins[row]
+    met = np.full((int(order.max(initial=-1)) + 1, rows), len(known))
+    met[order, row] = at[row, column]
+    state = np.full((masks.shape[1], rows), ~np.uint64(0))
+    for word in met:
+        carry = np.zeros(rows, np.uint64)
+        for k in range(len(state)):
+            old = state[k]
+            same = old & masks[word, k]
+            grown = old + same
+            if len(state) > 1:
+                over = grown < old
+                grown = grown + carry
+                carry = (over | (grown < carry)).astype(np.uint64)
+            state[k] = grown | (old ^ same)
+    if m % 64:
+        state[-1] |= ~np.uint64(0) << np.uint64(m % 64)
+    return 64 * len(state) - np.bitwise_count(state).sum(0, dtype=np.int64)
 
 
 def longest_run(item: np.ndarray, texts: np.ndarray) -> np.ndarray:
@@ -79,15 +117,19 @@ def longest_run(item: np.ndarray, texts: np.ndarray) -> np.ndarray:
 def judge(item: np.ndarray, texts: np.ndarray, verdict: Verdict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """For rows of texts: is it the item, shares of the item and of its answer in the common subsequence, longest run.
 
-    The answer and the run are worked out (else 0) only where the first share lets them matter.
+    Each is worked out (else 0) only where what is known before it lets it matter: the shared words bound the subsequence,
+    and that bounds the run.
     """
-    common = lcs(item, texts)
-    share, answer, run = common / max(len(item), 1), np.zeros(len(texts)), np.zeros(len(texts), np.int32)
-    may = np.flatnonzero((share >= verdict.lcs) | (common >= verdict.run))
-    if len(item) and len(may):
+    n, least = len(texts), min(verdict.lcs * len(item), verdict.run)
+    common, answer, run = np.zeros(n, np.int64), np.zeros(n), np.zeros(n, np.int32)
+    may = np.flatnonzero(shared_words(item, texts) >= least) if len(item) else np.zeros(0, np.int64)
+    common[may] = lcs(item, texts[may])
+    share = common / max(len(item), 1)
+    may = may[(share[may] >= verdict.lcs) | (common[may] >= verdict.run)]
+    if len(may):
         part = answer_of(item)
         answer[may], run[may] = lcs(part, texts[may]) / len(part), longest_run(item, texts[may])
-    return ((share >= verdict.lcs) & (answer >= verdict.answer)) | (run >= verdict.run), share, answer, run
+    return (((share >= verdict.lcs) & (answer >= verdict.answer)) | (run >= verdict.run)) & (len(item) > 0), share, answer, run
 
 
 def run_hashes(word: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
@@ -311,7 +353,7 @@ def _search(model, verdict: Verdict, least: int):
             starts = np.flatnonzero(ends - np.arange(len(at)) >= least)
             for s in (starts[lo : lo + 2048] for lo in range(0, len(starts), 2048)):
                 low, high = int(s[0]), int(ends[s[-1]])
-                total = np.zeros((high - low + 1, loading.shape[1]))
+                total = np.zeros((high - low + 1, loading.shape[1]), np.float32)
                 np.cumsum(loading[column[i_word[low:high]]], axis=0, out=total[1:])
                 x = total[ends[s] - low] - total[s - low]
                 cosine = (x @ query) / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
@@ -392,7 +434,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
             least = max(1, min(3, *(int(np.ceil(verdict.lcs * len(w))) for w in block)))
             runs = item_runs(block, verdict.run)
             hits = stored(arrow_map(places, _chosen(spark.sparkContext.broadcast((column, runs)), least, verdict.run), f"_id {kind}, n long, i_place binary, i_word binary, place binary, word binary"), "hits")
-            loading = latent_space(hits, block, idf, column)
+            loading = latent_space(hits, block, idf, column).astype(np.float32)
             query = np.stack([loading[column[w[column[w] >= 0]]].sum(0) for w in block])
             query /= np.maximum(np.linalg.norm(query, axis=1, keepdims=True), 1e-12)
             model = spark.sparkContext.broadcast(([w.astype(np.int32) for w in block], [i for i, _ in numbered[lo : lo + ITEMS]], column, loading, query.T, runs))
