@@ -10,9 +10,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.names import EXCLUDE_TAGS, SYNONYM_TAGS, alternatives, name_keys, nearest_distance, ngram_keys, normalize_name
+from ..tables import written
 
-#: Rows of a registry index that are broadcast to the mentions; beyond it Spark joins by a shuffle.
-BROADCAST_ROWS = 1_000_000
+#: Relations of an entity up to which it is met through them; those of a hub are met page by page.
+HUB = 1_000
 
 
 def person_index(registry: DataFrame) -> DataFrame:
@@ -58,42 +59,51 @@ def mention_keys(names: DataFrame, excluded_names: DataFrame) -> DataFrame:
 
 
 def resolve(mentions: DataFrame, registry: DataFrame, exclusions: DataFrame, lone_first_names: bool = True) -> dict[str, DataFrame]:
-    """The whole resolution: excluded, matchless, single, cross and noncross as DataFrames.
+    """The whole resolution: excluded, matchless (both in one table as idle, with their state), single, cross and noncross
+    as DataFrames.
 
     Exclusion tests the key as it is, synonyms replace it after (R3). A key with one entity of a type is single, with
     more multi; a multi's candidate is cross-matched if it shares a registry row with exactly one single match of the
     other type on its page, counted by mention and key (R1). Multis without such a candidate are noncross.
 
     Keys, exclusions, synonyms and candidates depend on the name alone, so they are found once for each distinct name;
-    pages only join their result.
+    pages only join their result. What several outcomes read is written once to the shared folder.
     """
     persons, orgs = person_index(registry), org_index(registry)
     excluded, barred, synonyms = exclusion_sets(exclusions)
     if lone_first_names:
         excluded = excluded_keys(excluded, persons)
-    pages = mentions.where(F.length("name") > 0).select("page", "name").distinct().persist()  # every outcome reads these; lost blocks are computed again
-    keys = mention_keys(pages.select("name").distinct(), barred)
+    pages = mentions.where(F.length("name") > 0).select("page", "name").distinct()
+    names = mentions.where(F.length("name") > 0).select("name").distinct()
+    keys = mention_keys(names, barred)
     kept = keys.join(excluded, "key", "left_anti").join(synonyms, "key", "left").select("name", "per_ok", F.coalesce("long_form", "key").alias("key")).distinct()
     index = persons.select(F.lit("PER").alias("type"), "key", "id", F.col("name").alias("entity")).union(orgs.select(F.lit("ORG"), "key", "id", "name"))
-    hits = kept.join(index, "key").where("type = 'ORG' or per_ok").select("name", "key", "type", "id", "entity").persist()
-    alive = kept.select("name").distinct().persist()
-    gone = pages.join(alive, "name", "left_anti").select("page", "name")
-    matchless = pages.join(alive.join(hits, "name", "left_anti"), "name", "left_semi").select("page", "name")
-    candidates = pages.join(hits, "name").groupBy("page", "type", "key", "id", "entity").agg(F.count_distinct("name").alias("mentions"))
-    candidates = candidates.withColumn("n", F.count("*").over(W.partitionBy("page", "type", "key"))).persist()
+    met = kept.join(index, "key", "left").select("name", F.when(F.col("type").isNotNull() & ((F.col("type") == "ORG") | F.col("per_ok")), F.struct("type", "key", "id", "entity")).alias("hit"))
+    # each name with its hits; a name that is not there has none of its keys left
+    known = written(names.join(met.groupBy("name").agg(F.collect_set("hit").alias("hits")), "name", "left"), "names")
+    none = known.where("hits is null or size(hits) = 0").select("name", F.when(F.col("hits").isNull(), "excluded").otherwise("matchless").alias("state"))
+    idle = pages.join(none, "name").select("page", "name", "state")
+    candidates = pages.join(known.select("name", F.explode("hits").alias("h")), "name").groupBy("page", "h.type", "h.key", "h.id", "h.entity").agg(F.count("*").alias("mentions"))
+    candidates = written(candidates.withColumn("n", F.count("*").over(W.partitionBy("page", "type", "key"))), "candidates")
     single, multi = candidates.where("n = 1"), candidates.where("n > 1")
-    cross = _cross(multi, single, relations(registry))
+    cross = written(_cross(multi, single, relations(registry)), "cross")
     noncross = multi.select("page", "type", "key").distinct().join(cross.select("page", "type", "key").distinct(), ["page", "type", "key"], "left_anti")
     shown = ["page", "type", "key", "id", "entity"]
-    return {"excluded": gone, "matchless": matchless, "single": single.select(*shown), "cross": cross.select(*shown), "noncross": noncross}
+    return {"excluded": idle.where("state = 'excluded'").drop("state"), "matchless": idle.where("state = 'matchless'").drop("state"), "single": single.select(*shown), "cross": cross.select(*shown), "noncross": noncross, "idle": idle}
 
 
 def _cross(multi: DataFrame, single: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(page) then (per, org): rows are compared as pairs of ids, never row by row."""
-    other = single.select("page", F.col("type").alias("o_type"), F.col("id").alias("o_id"), F.col("mentions").alias("o_mentions"))
-    both = multi.join(other, "page").where("type <> o_type")
-    ids = both.withColumn("per", F.when(F.col("type") == "PER", F.col("id")).otherwise(F.col("o_id"))).withColumn("org", F.when(F.col("type") == "ORG", F.col("id")).otherwise(F.col("o_id")))
-    linked = ids.join(pairs, ["per", "org"], "left_semi")
+    """Singles go through their relations to the entities of the other type and meet the multis by page and id; only
+    those of hubs, which have more than HUB relations, are compared with every multi of their page."""
+    both = pairs.select(F.lit("PER").alias("type"), F.col("per").alias("id"), F.col("org").alias("o_id")).union(pairs.select(F.lit("ORG"), "org", "per"))
+    hubs = both.groupBy("type", "id").count().where(F.col("count") > HUB).select("type", "id")
+    few, many = both.join(hubs, ["type", "id"], "left_anti"), single.join(hubs, ["type", "id"], "left_semi")
+    other = lambda rows: rows.select("page", F.when(F.col("type") == "PER", "ORG").otherwise("PER").alias("type"), "o_id", "mentions")
+    reached = other(single.join(few, ["type", "id"])).withColumnsRenamed({"o_id": "id", "mentions": "o_mentions"})
+    near = multi.join(reached, ["page", "type", "id"]).select("page", "type", "key", "id", "entity", "o_mentions")
+    beside = many.select("page", F.col("type").alias("o_type"), F.col("id").alias("h_id"), F.col("mentions").alias("o_mentions"))
+    far = multi.join(beside, "page").where("type <> o_type").join(both.toDF("o_type", "h_id", "id"), ["o_type", "h_id", "id"], "left_semi")
+    linked = near.union(far.select(*near.columns))
     return linked.groupBy("page", "type", "key", "id", "entity").agg(F.sum("o_mentions").alias("links")).where("links = 1").drop("links")
 
 
@@ -102,7 +112,7 @@ def outcomes(parts: dict[str, DataFrame]) -> DataFrame:
     none = F.lit(None)
     rows = [parts[k].select("page", F.lit(k).alias("outcome"), "type", "key", "id") for k in ("single", "cross")]
     rows.append(parts["noncross"].select("page", F.lit("noncross").alias("outcome"), "type", "key", none.cast("bigint").alias("id")))
-    rows += [parts[k].select("page", F.lit(k).alias("outcome"), none.cast("string").alias("type"), F.col("name").alias("key"), none.cast("bigint").alias("id")) for k in ("excluded", "matchless")]
+    rows.append(parts["idle"].select("page", F.col("state").alias("outcome"), none.cast("string").alias("type"), F.col("name").alias("key"), none.cast("bigint").alias("id")))
     out = rows[0]
     for r in rows[1:]:
         out = out.unionByName(r)
@@ -117,20 +127,36 @@ def per_page(parts: dict[str, DataFrame]) -> DataFrame:
     return rows.withColumn("not_matchable", F.array().cast("array<string>"))
 
 
+def _contained(texts: DataFrame, names: DataFrame, name: str) -> DataFrame:
+    """entity, `name`: the names (distinct, not empty) that a text holds. Each text is cut into its parts of the lengths
+    that occur, which meet the names by equality."""
+    lengths = sorted(r[0] for r in names.select(F.length(name)).distinct().collect())  # as many as the longest name has characters at most
+    parts = [F.transform(F.sequence(F.lit(1), F.length("entity") - n + 1), _part_of(n)) for n in lengths]
+    cut = [F.when(F.length("entity") >= n, p).otherwise(F.array().cast("array<string>")) for n, p in zip(lengths, parts)]
+    every = F.explode(F.array_distinct(F.concat(*cut))) if cut else F.explode(F.array().cast("array<string>"))
+    return texts.select("entity").distinct().select("entity", every.alias(name)).join(names, name)
+
+
+def _part_of(n: int):
+    return lambda i: F.substring(F.col("entity"), i, n)
+
+
 def simple_link(names: DataFrame, registry: DataFrame) -> DataFrame:
     """Page, label, ident, entity of PER and ORG names (F17) that hold a registry row's first and last name, or its organisation.
 
-    names: page, label, entity. Containment is no equality: the distinct names of either side meet in a nested-loop join,
-    pages come back by an equal join after it. Registry rows with an empty name are left out (S9).
+    names: page, label, entity. Containment becomes equality with the entity's parts; first and last names are found each
+    for itself and meet by entity, so that a common first name is never paired with all its bearers. Registry rows with an
+    empty name are left out (S9). Null entities link with nothing.
     """
     wanted = names.where(F.col("label").isin("PER", "ORG"))
     people = registry.where((F.length("first_name") > 0) & (F.length("last_name") > 0) & (F.length("name_org") > 0)).select("first_name", "last_name", "name_org", "id_per", "id_org")
-    person = F.contains("entity", "first_name") & F.contains("entity", "last_name")
-    texts = wanted.select("label", "entity").distinct()
-    by_person = texts.join(people.select("first_name", "last_name").distinct(), person).join(people, ["first_name", "last_name"])
-    by_org = texts.join(people.select("name_org").distinct(), F.contains("entity", "name_org")).join(people, "name_org")
+    texts = wanted.select("label", "entity").where("entity is not null").distinct()
+    first, last, org = (_contained(texts, people.select(c).distinct(), c) for c in ("first_name", "last_name", "name_org"))
+    by_person = first.join(last, "entity").join(people, ["first_name", "last_name"])
+    by_org = org.join(people, "name_org")
+    idents = by_person.select("entity", "id_per", "id_org").union(by_org.select("entity", "id_per", "id_org")).distinct()
     ident = F.when(F.col("label") == "PER", F.col("id_per")).otherwise(F.col("id_org"))
-    found = by_person.select("label", "entity", ident.alias("ident")).union(by_org.select("label", "entity", ident.alias("ident"))).distinct()
+    found = texts.join(idents, "entity").select("label", "entity", ident.alias("ident")).distinct()
     return wanted.join(found, ["label", "entity"]).select("page", "label", "ident", "entity").distinct()
 
 

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.urls import let
+
 #: Letters or digits with _ and &, dotted acronyms, c++ and c#, single ideographs.
 TOKEN = r"(?:\p{L}\.){2,}|[cC](?:\+\+|#)|[\p{L}\p{N}_&]+"
 #: Ranges of characters that are tokens of their own (kana, jamo, ideographs).
@@ -35,17 +37,27 @@ def common_grams(words: Column, common: list[str]) -> Column:
     return F.array_compact(pairs)
 
 
+def _runs(items: Column) -> Column:
+    """From a sorted array, (item, times) of each different item, in order; nulls are left out beforehand."""
+    begins = lambda a: F.filter(F.sequence(F.lit(0), F.size(a)), lambda i: (i < F.size(a)) & ((i == 0) | (F.get(a, i) != F.get(a, F.greatest(i - 1, F.lit(0))))))
+    return let(items, lambda a: let(begins(a), lambda b: F.transform(b, lambda at, k: F.struct(F.get(a, at).alias("t"), (F.coalesce(F.get(b, k + 1), F.size(a)) - at).alias("c")))))
+
+
 def text_profile(docs: DataFrame, rate: float = 0.01, least: int = 2) -> DataFrame:
     """doc_id, profile and its MD5. Runs of more than two letters or digits are counted, counts quantised, rare
-    ones dropped, the rest sorted by count, then token. Without any, the MD5 of the text stands in (H2)."""
-    words = docs.select("doc_id", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}]{3,}"), F.lit(0))).alias("t")).groupBy("doc_id", "t").agg(F.count("*").alias("c"))
-    top = words.withColumn("m", F.max("c").over(W.partitionBy("doc_id")))
-    quant = F.round(F.col("m") * rate).cast("bigint")
-    q = F.when(quant < least, F.when(F.col("m") > 1, F.lit(least)).otherwise(F.lit(1))).otherwise(quant)
-    kept = top.withColumn("k", F.floor(F.col("c") / q) * q).where(F.col("k") >= q)
-    lines = kept.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct((-F.col("k")).alias("n"), "t"))).alias("a"))
-    profile = lines.select("doc_id", F.array_join(F.transform("a", lambda x: F.concat_ws(" ", x["t"], (-x["n"]).cast("string"))), "\n").alias("profile"))
-    return docs.select("doc_id", "text").join(profile, "doc_id", "left").select("doc_id", F.coalesce("profile", F.lit("")).alias("profile"), F.md5(F.coalesce("profile", "text", F.lit(""))).alias("signature"))
+    ones dropped, the rest sorted by count, then token. Without any, the MD5 of the text stands in (H2). All within the row:
+    no shuffle. A null or empty text has an empty profile and the MD5 of the empty text; repeated rows get a row each."""
+    counted = _runs(F.array_sort(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(r"[\p{L}\p{N}]{3,}"), F.lit(0))))
+
+    def lines(counts: Column) -> Column:
+        most = F.array_max(F.transform(counts, lambda x: x["c"]))
+        quant = F.round(most * rate).cast("int")
+        step = F.when(quant < least, F.when(most > 1, F.lit(least)).otherwise(F.lit(1))).otherwise(quant)
+        kept = let(step, lambda q: F.filter(F.transform(counts, lambda x: F.struct((-F.floor(x["c"] / q) * q).cast("int").alias("n"), x["t"].alias("t"))), lambda x: -x["n"] >= q))
+        return F.array_join(F.transform(F.array_sort(kept), lambda x: F.concat_ws(" ", x["t"], (-x["n"]).cast("string"))), "\n")
+
+    profile = F.coalesce(let(counted, lines), F.lit(""))
+    return docs.select("doc_id", "text", profile.alias("profile")).select("doc_id", "profile", F.md5(F.coalesce(F.nullif("profile", F.lit("")), "text", F.lit(""))).alias("signature"))
 
 
 def term_frequencies(docs: DataFrame, least: int = 1) -> DataFrame:
@@ -66,14 +78,18 @@ def language_profiles(docs: DataFrame, n: int = 3, top: int = 1000) -> DataFrame
     return share.withColumn("r", F.row_number().over(W.partitionBy("lang").orderBy(F.desc("c"), "gram"))).where(F.col("r") <= top).select("lang", "gram", "freq")
 
 
-def identify(docs: DataFrame, profiles: DataFrame, n: int = 3) -> DataFrame:
+def identify(docs: DataFrame, profiles: DataFrame, n: int = 3, broadcast_rows: int = 200_000) -> DataFrame:
     """L2: doc_id, guess: the language whose shared n-grams have the largest sum of both frequencies; ties: first by name.
 
-    A profile has at most its top n-grams a language, so Spark may broadcast it.
+    A text's n-grams are sorted within its row and carry their text's total, so that they meet the profiles on the map
+    side (broadcast if their rows are at most `broadcast_rows`, some 60 bytes each) and only a row for each text and
+    language is shuffled. Null texts and texts without letters have no row; rows of one id add up.
     """
-    grams = docs.select("doc_id", F.explode(ngrams(F.col("text"), n)).alias("gram")).groupBy("doc_id", "gram").agg(F.count("*").alias("c"))
-    share = grams.withColumn("own", F.col("c") / F.sum("c").over(W.partitionBy("doc_id")))
-    score = share.join(profiles, "gram").groupBy("doc_id", "lang").agg(F.round(F.sum(F.col("own") + F.col("freq")), 9).alias("score"))
+    grams = docs.where("text is not null").select("doc_id", F.array_sort(ngrams(F.col("text"), n)).alias("g"))
+    each = F.transform("g", lambda x, i: F.struct(x.alias("gram"), ((i == 0) | (x != F.get("g", F.greatest(i - 1, F.lit(0))))).alias("first")))
+    rows = grams.select("doc_id", (1 / F.size("g")).alias("own"), F.explode(each).alias("x")).select("doc_id", "own", "x.gram", "x.first")
+    known = F.broadcast(profiles) if profiles.count() <= broadcast_rows else profiles
+    score = rows.join(known, "gram").groupBy("doc_id", "lang").agg(F.round(F.sum(F.col("own") + F.when(F.col("first"), F.col("freq")).otherwise(0.0)), 9).alias("score"))
     best = score.groupBy("doc_id").agg(F.min(F.struct((-F.col("score")).alias("s"), "lang")).alias("b"))
     return best.select("doc_id", F.col("b.lang").alias("guess"), (-F.col("b.s")).alias("score"))
 

@@ -52,16 +52,16 @@ def field_stats(spark, sf):
 
 
 def lang_profile(spark, sf):
-    return T.language_profiles(_docs(spark, sf), top=100).select("lang", "gram", F.round("freq", 9).alias("freq"))
+    return T.language_profiles(_docs(spark, sf), top=1000).select("lang", "gram", F.round("freq", 9).alias("freq"))
 
 
 def lang_identify(spark, sf):
     d = _docs(spark, sf)
-    return T.identify(d, T.language_profiles(d, top=300)).select("doc_id", "guess", F.round("score", 6).alias("score"))
+    return T.identify(d, T.language_profiles(d, top=1000)).select("doc_id", "guess", F.round("score", 6).alias("score"))
 
 
 def profile_distance(spark, sf):
-    return T.profile_distance(T.language_profiles(_docs(spark, sf), top=300)).select("a", "b", F.round("distance", 6).alias("distance"))
+    return T.profile_distance(T.language_profiles(_docs(spark, sf), top=1000)).select("a", "b", F.round("distance", 6).alias("distance"))
 
 
 def language_field(spark, sf):
@@ -161,9 +161,9 @@ p as (select doc_id, string_agg(t || ' ' || k, chr(10) order by k desc, t) as pr
     "high_freq_terms": f"select term, count(*) as docs from (select doc_id, unnest(list_distinct({_TOK})) as term from documents) group by 1 having count(*) >= 20",
     "uniq_field_values": "select distinct source, lang from documents",
     "field_stats": "select count(*) as docs, count(text) as with_text, count(distinct lang) as langs, count(distinct source) as sources from documents",
-    "lang_profile": f"with {_PROFILE(100)} select lang, gram, round(freq, 9) as freq from prof",
-    "lang_identify": f"with {_PROFILE(300)}, g as (select doc_id, gram, count(*) as c from ({_GRAMS.format(key='doc_id')}) group by all), s as (select doc_id, gram, c / sum(c) over (partition by doc_id) as own from g), x as (select doc_id, lang, round(sum(own + freq), 9) as score from s join prof using (gram) group by all) select doc_id, lang as guess, round(score, 6) as score from x qualify row_number() over (partition by doc_id order by score desc, lang) = 1",
-    "profile_distance": f"with {_PROFILE(300)}, names as (select distinct lang from prof), pairs as (select x.lang as a, y.lang as b from names x join names y on x.lang < y.lang), grams as (select distinct gram from prof) select a, b, round(sum(abs(coalesce(p.freq, 0) - coalesce(q.freq, 0))), 6) as distance from pairs cross join grams left join prof p on p.lang = a and p.gram = grams.gram left join prof q on q.lang = b and q.gram = grams.gram group by all",
+    "lang_profile": f"with {_PROFILE(1000)} select lang, gram, round(freq, 9) as freq from prof",
+    "lang_identify": f"with {_PROFILE(1000)}, g as (select doc_id, gram, count(*) as c from ({_GRAMS.format(key='doc_id')}) group by all), s as (select doc_id, gram, c / sum(c) over (partition by doc_id) as own from g), x as (select doc_id, lang, round(sum(own + freq), 9) as score from s join prof using (gram) group by all) select doc_id, lang as guess, round(score, 6) as score from x qualify row_number() over (partition by doc_id order by score desc, lang) = 1",
+    "profile_distance": f"with {_PROFILE(1000)}, names as (select distinct lang from prof), pairs as (select x.lang as a, y.lang as b from names x join names y on x.lang < y.lang), grams as (select distinct gram from prof) select a, b, round(sum(abs(coalesce(p.freq, 0) - coalesce(q.freq, 0))), 6) as distance from pairs cross join grams left join prof p on p.lang = a and p.gram = grams.gram left join prof q on q.lang = b and q.gram = grams.gram group by all",
     "language_field": """select page_id, coalesce(case when page_id % 3 > 0 then nullif(lower(regexp_extract(html, '(?i)<html[^>]+lang=["'']([A-Za-z]{2})', 1)), '') end, case when page_id % 2 = 0 then 'xx' end, 'unknown') as lang from pages""",
     "search_terms": f"with {_POST}, hits as ({_HIT(0, 'example')}) {_SCORE(1)}",
     "search_phrase": f"with {_POST}, hits as (select a.doc_id, a.field, count(*) as tf, 1 as clause from post a join post b on a.doc_id = b.doc_id and a.field = b.field and b.pos = a.pos + 1 where a.term = 'of' and b.term = 'the' group by all), s as ({_SCORE(1)}) select * from s where doc_id not in (select doc_id from post where field = 'title' and term = 'der')",
