@@ -10,8 +10,9 @@ two sets share at most the sum of the coordinate-wise minima of their points.
    neighbour in a cell. What is verified joins components, so that a large group of near copies costs few pairs.
 4. In cells with more than one component, rows without a partner that fits by place in the order and by number of common
    cells (two exact conditions, see admissible) go first. An R-tree over the points of what stays finds the pairs of
-   different components whose bound reaches the threshold; cells over TILE are dealt out as pairs of tiles. While rounds with only the closest pair of any
-   two components find links, they go on; a last one with all pairs finds whatever is left.
+   different components whose bound reaches the threshold; large cells are dealt out as pairs of tiles, and their largest
+   component only meets the rest. While rounds with only the closest pair of any two components find links, they go on; a
+   last one with all pairs finds whatever is left.
 5. All rounds verify pairs on the whole texts. The components of all links are the result.
 """
 
@@ -29,13 +30,16 @@ from .components import components
 from .shared import arrow_map, stored
 from .words import mix, windows, words
 
-#: Coordinates of a point; most classes of a cell that one task compares; most rows of a broadcast table (16 bytes each).
-GROUPS, TILE, BROADCAST_ROWS = 256, 20_000, 500_000
+#: Coordinates of a point; most rows of a broadcast table (16 bytes each).
+GROUPS, BROADCAST_ROWS = 256, 500_000
+#: Classes of a cell that one task compares: a cell over the first number is dealt out in about eight tiles, of at most the second.
+TILE = (512, 20_000)
 #: Most shingles that are ordered last as frequent (16 bytes each), and most that a task puts up for that.
 FREQUENT, TASK_FREQUENT = 1 << 19, 1 << 16
 #: Cells of up to so many classes are compared directly.
 SMALL = 24
 LEAF = 16
+_MOST = 65535
 
 
 def shingle_sets(column, k: int = 5) -> Iterator[np.ndarray]:
@@ -62,6 +66,12 @@ def coarse(fine: np.ndarray, groups: int = GROUPS) -> np.ndarray:
     return fine.reshape(groups, -1).sum(1) if len(fine) > groups else fine
 
 
+def _narrow(counts: np.ndarray) -> np.ndarray:
+    """A coarse point in 16 bits. One that does not fit (of some 16 million shingles) is as large as can be in all groups,
+    which `reachable` takes for any overlap."""
+    return counts.astype(np.uint16) if counts.max() <= _MOST else np.full(len(counts), _MOST, np.uint16)
+
+
 def _name(shingles: np.ndarray) -> int:
     """64-bit name of a class; with the set's size it identifies the set."""
     return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True)
@@ -72,6 +82,11 @@ def need(n, m, t: float):
     return np.ceil(t * (n + m) / (100 + t) - 1e-9)
 
 
+def reachable(n, m, t: float):
+    """The bound that points of linked sets reach at least; never more than full points give."""
+    return np.minimum(need(n, m, t), GROUPS * _MOST)
+
+
 def admissible(i: dict, j: dict, t: int) -> np.ndarray:
     """Whether two postings of a cell can be the first shingle that linked sets share: the places before it hold only
     shingles that the other lacks, the sets meet in more cells than either lies in, and their components differ."""
@@ -109,7 +124,7 @@ def _rows(k: int):
                 n.append(len(s))
                 name.append(c)
                 vec.append(fine.tobytes() if len(s) else None)
-                low.append(coarse(fine).astype(np.uint16).tobytes() if len(s) else None)
+                low.append(_narrow(coarse(fine)).tobytes() if len(s) else None)
                 if len(s) and c not in seen:
                     seen.add(c)
                     pending.append(s)
@@ -238,7 +253,7 @@ class CountTree:
                 continue
             top, low, high, c_low, c_high = self.levels[level]
             bound = np.minimum(top[a], top[b]).sum(1)
-            ok = (bound >= need(low[a], low[b], t)) & (100 * high[a] >= t * low[b]) & (100 * high[b] >= t * low[a])
+            ok = (bound >= reachable(low[a], low[b], t)) & (100 * high[a] >= t * low[b]) & (100 * high[b] >= t * low[a])
             ok &= ~((c_low[a] == c_high[a]) & (c_low[b] == c_high[b]) & (c_low[a] == c_low[b]))
             a, b = a[ok], b[ok]
             if not len(a):
@@ -256,7 +271,7 @@ class CountTree:
                     x, y = i[lo : lo + 65536], j[lo : lo + 65536]
                     differ = self.component[x] != self.component[y]
                     x, y = x[differ], y[differ]
-                    good = np.minimum(self.points[x], self.points[y]).sum(1) >= need(self.sizes[x], self.sizes[y], t)
+                    good = np.minimum(self.points[x], self.points[y]).sum(1) >= reachable(self.sizes[x], self.sizes[y], t)
                     yield self.order[x[good]], self.order[y[good]]
 
 
@@ -358,7 +373,7 @@ def _tree_join(t: int, best: bool):
     def cells(table: pa.Table) -> Iterator[pa.RecordBatch]:
         c = _Cells(table)
         name, vec, n, comp = table.column("cls").to_numpy(), _points(table.column("point")), c.of["n"], c.of["component"]
-        over = lambda i, j: np.minimum(vec[i], vec[j]).sum(1, dtype=np.int64) / need(n[i], n[j], t)
+        over = lambda i, j: np.minimum(vec[i], vec[j]).sum(1, dtype=np.int64) / reachable(n[i], n[j], t)
         out: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
         for i, j in c.shifted(t, SMALL):
             ok = over(i, j) >= 1
@@ -492,12 +507,23 @@ def _fitting(filed: DataFrame, t: int) -> DataFrame:
 
 
 def _candidates(filed: DataFrame, classes: DataFrame, known: DataFrame, t: int, best: bool) -> DataFrame:
-    """Pairs (a, b) of different components by the tree join of all cells with more than one component."""
+    """Pairs (a, b) of different components by the tree join of all cells with more than one component.
+
+    Cells over TILE[0] rows are dealt out: rows of the cell's largest component, which have no pairs among each other, go
+    in tiles (numbers below 0) that each meet every tile of the rest; tiles of the rest meet each other too.
+    """
     labels = _maybe_broadcast(known)
     marked = filed.join(labels, filed["cls"] == known["node"], "left").select("key", "cls", "code", "cells", F.coalesce("component", "cls").alias("component"))
-    mixed = stored(marked.groupBy("key").agg(F.count("*").alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key", F.ceil(F.col("size") / TILE).cast("int").alias("tiles")), "mixed")
-    open_ = marked.join(_maybe_broadcast(mixed), "key")
-    open_ = open_.withColumn("salt", F.pmod(F.xxhash64("cls"), F.col("tiles")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    sizes = marked.groupBy("key", "component").agg(F.count("*").alias("n")).groupBy("key").agg(F.sum("n").alias("size"), F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("components"))
+    tile = F.least(F.greatest(F.lit(TILE[0]), F.ceil(F.col("size") / 8)), F.lit(TILE[1]))
+    tiles = lambda n: F.greatest(F.ceil(n / tile), F.lit(1)).cast("int")
+    mixed = sizes.where("components > 1").select("key", F.when(F.col("size") > TILE[0], F.col("top.component")).alias("major"), tiles(F.col("top.n")).alias("m_tiles"), tiles(F.col("size") - F.col("top.n")).alias("r_tiles"))
+    mixed = stored(mixed, "mixed")
+    open_ = marked.join(_maybe_broadcast(mixed), "key").withColumn("whole", F.col("major").isNull()).withColumn("is_major", F.col("component") == F.col("major"))
+    open_ = open_.withColumn("salt", F.when(F.col("whole"), 0).when(F.col("is_major"), -1 - F.pmod(F.xxhash64("cls"), F.col("m_tiles"))).otherwise(F.pmod(F.xxhash64("cls"), F.col("r_tiles"))).cast("int"))
+    rest, major = F.sequence(F.lit(0), F.col("r_tiles") - 1), F.transform(F.sequence(F.lit(1), F.col("m_tiles")), lambda m: -m)
+    others = F.when(F.col("whole"), F.array(F.lit(0))).when(F.col("is_major"), rest).otherwise(F.concat(rest, major))
+    open_ = open_.withColumn("other", F.explode(others))
     open_ = open_.select("key", F.least("salt", "other").alias("s1"), F.greatest("salt", "other").alias("s2"), "salt", "cls", "code", "component", "cells")
     sort = ("key", "s1", "s2", F.shiftright("code", 32), "cls")
     open_ = open_.join(classes.select("cls", "point"), "cls").repartition("key", "s1", "s2").sortWithinPartitions(*sort)

@@ -67,7 +67,7 @@ def rows_of(df):
     return sorted(map(tuple, df.collect()), key=repr)
 
 
-@pytest.mark.parametrize("seed,tile,small,frequent", [(1, 20_000, 24, 1 << 19), (2, 7, 3, 40)])
+@pytest.mark.parametrize("seed,tile,small,frequent", [(1, (512, 20_000), 24, 1 << 19), (2, (7, 9), 3, 40)])
 def test_equals_all_pairs(spark, monkeypatch, seed, tile, small, frequent):
     for name, value in (("TILE", tile), ("SMALL", small), ("FREQUENT", frequent)):
         monkeypatch.setattr(jaccard, name, value)
@@ -99,6 +99,12 @@ def test_tree_finds_all_bounded_pairs(seed):
     assert want <= got and all(comp[i] != comp[j] for i, j in got)
 
 
+def test_points_too_large_for_their_bits():
+    wide = jaccard._narrow(np.array([70_000] + [3] * (jaccard.GROUPS - 1)))
+    assert wide.min() == 65535 and wide.astype(np.int64).sum() >= jaccard.reachable(30_000_000, 30_000_000, 75)
+    assert jaccard._narrow(np.arange(jaccard.GROUPS)).tolist() == list(range(jaccard.GROUPS))
+
+
 def test_components(spark):
     r = random.Random(4)
     edges = [(i, i + 1) for i in range(50)] + [(100, x) for x in range(101, 140)] + [(r.randrange(200, 260), r.randrange(200, 260)) for _ in range(40)] + [(None, 3), (300, 300)]
