@@ -444,7 +444,7 @@ def _links(source: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, t: i
     wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(classes.select("cls", "hash"), "cls"), "wanted")
     found = source.select("_text", "_hash").join(_maybe_broadcast(wanted), F.col("_hash") == F.col("hash")).select("cls", "_text")
     texts = stored(found.mapInArrow(_texts_of(k), "cls long, text string").dropDuplicates(["cls"]), "texts")
-    both = pairs.join(texts.select(F.col("cls").alias("b"), F.col("text").alias("text_b")), "b").join(texts.select(F.col("cls").alias("a"), F.col("text").alias("text_a")), "a")
+    both = pairs.join(texts.select(F.col("cls").alias("b"), F.col("text").alias("text_b")).hint("merge"), "b").join(texts.select(F.col("cls").alias("a"), F.col("text").alias("text_a")).hint("merge"), "a")
     return stored(both.select("a", "b", "text_a", "text_b").sortWithinPartitions("a").mapInArrow(_verify(k, t), "a long, b long"), "links")
 
 
@@ -523,10 +523,11 @@ def _candidates(filed: DataFrame, classes: DataFrame, known: DataFrame, t: int,
     open_ = open_.withColumn("salt", F.when(F.col("whole"), 0).when(F.col("is_major"), -1 - F.pmod(F.xxhash64("cls"), F.col("m_tiles"))).otherwise(F.pmod(F.xxhash64("cls"), F.col("r_tiles"))).cast("int"))
     rest, major = F.sequence(F.lit(0), F.col("r_tiles") - 1), F.transform(F.sequence(F.lit(1), F.col("m_tiles")), lambda m: -m)
     others = F.when(F.col("whole"), F.array(F.lit(0))).when(F.col("is_major"), rest).otherwise(F.concat(rest, major))
-    open_ = open_.withColumn("other", F.explode(others))
-    open_ = open_.select("key", F.least("salt", "other").alias("s1"), F.greatest("salt", "other").alias("s2"), "salt", "cls", "code", "component", "cells")
+    # points are wide and their files small, so Spark must not take them for a table to broadcast
+    open_ = open_.join(classes.select("cls", "point").hint("merge"), "cls").withColumn("other", F.explode(others))
+    open_ = open_.select("point", "key", F.least("salt", "other").alias("s1"), F.greatest("salt", "other").alias("s2"), "salt", "cls", "code", "component", "cells")
     sort = ("key", "s1", "s2", F.shiftright("code", 32), "cls")
-    open_ = open_.join(classes.select("cls", "point"), "cls").repartition("key", "s1", "s2").sortWithinPartitions(*sort)
+    open_ = open_.repartition("key", "s1", "s2").sortWithinPartitions(*sort)
     pairs = open_.select("key", "s1", "s2", "salt", "cls", "code", "component", "cells", "point").mapInArrow(_tree_join(t, best), "a long, b long, low long, high long, close double")
     if best:
         return pairs.groupBy("low", "high").agg(F.max(F.struct("close", "a", "b")).alias("p")).select("p.a", "p.b")
@@ -565,4 +566,4 @@ def _bounded(pairs: DataFrame, classes: DataFrame, t: int) -> DataFrame:
             good.append(int(np.minimum(coarse(a, groups), coarse(b, groups)).sum()) >= enough)
         return batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    return arrow_map(pairs.join(left, "a").join(right, "b"), keep, "a long, b long")
+    return arrow_map(pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b"), keep, "a long, b long")
