@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 FLAGSHIP = "resolution"
-_GROUPS = ("entities", "web", "graph", "text", "parts", "streams")
+_GROUPS = ("entities", "web", "graph", "text", "parts", "streams", "sources", "assembly")
 
 
 def _gathered(what: str) -> dict:

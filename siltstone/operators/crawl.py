@@ -103,11 +103,10 @@ def segment_merge(parts: DataFrame) -> DataFrame:
 
 def stats(db: DataFrame) -> DataFrame:
     """Totals, and by status, retries, and status with host, in one pass over grouping sets; scores times 1000."""
-    db.createOrReplaceTempView("_crawl_stats")
-    return db.sparkSession.sql(
-        """select status, retries, host, count(*) as n, cast(floor(min(score) * 1000) as bigint) as score_min, cast(floor(max(score) * 1000) as bigint) as score_max, cast(sum(cast(floor(score * 1000) as bigint)) as bigint) as score_sum
-        from _crawl_stats group by grouping sets ((), (status), (retries), (status, host))"""
-    )
+    status, retries, host = F.col("status"), F.col("retries"), F.col("host")
+    scaled = F.floor(F.col("score") * 1000).cast("bigint")
+    sets = db.groupingSets([[], [status], [retries], [status, host]], status, retries, host)
+    return sets.agg(F.count("*").alias("n"), F.min(scaled).alias("score_min"), F.max(scaled).alias("score_max"), F.sum(scaled).alias("score_sum"))
 
 
 def domain_stats(db: DataFrame, key: Column) -> DataFrame:

@@ -5,11 +5,13 @@ mentions: page, name. registry: id_per, first_name, last_name, id_org, name_org,
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.names import EXCLUDE_TAGS, SYNONYM_TAGS, alternatives, name_keys, nearest_distance, ngram_keys, normalize_name
+from ..functions.names import EXCLUDE_TAGS, SYNONYM_TAGS, alternatives, key_line, name_keys, nearest_distance, ngram_keys, normalize_name
 from ..tables import written
 
 #: Relations of an entity up to which it is met through them; those of a hub are met page by page.
@@ -184,3 +186,42 @@ def evaluate(predicted: DataFrame, gold: DataFrame, keys: list[str]) -> DataFram
     both = p.join(g, keys, "full_outer").agg(F.count("p").alias("retrieved"), F.count("g").alias("relevant"), F.count(F.col("p") + F.col("g")).alias("tp"))
     precision, recall = F.try_divide("tp", "retrieved"), F.try_divide("tp", "relevant")
     return both.select("retrieved", "relevant", "tp", (F.col("retrieved") - F.col("tp")).alias("fp"), (F.col("relevant") - F.col("tp")).alias("fn"), F.round(precision, 6).alias("precision"), F.round(recall, 6).alias("recall"), F.round(F.try_divide(2 * precision * recall, precision + recall), 6).alias("f"))
+
+
+def person_relations(registry: DataFrame) -> DataFrame:
+    """A5: key, id, name of each person with both names, and its relations (id_org, name_org) as a set in order."""
+    rows = registry.where((F.length("first_name") > 0) & (F.length("last_name") > 0))
+    name = F.concat_ws(" ", "first_name", "last_name")
+    return rows.groupBy(normalize_name(name).alias("key"), F.col("id_per").alias("id"), name.alias("name")).agg(F.array_sort(F.collect_set(F.struct("id_org", "name_org"))).alias("relations"))
+
+
+def ngram_index(keys: DataFrame, share: float = 0.8) -> DataFrame:
+    """A5: gram, key: every n-gram key of the distinct normalised names. A posting table in place of lists, as a common
+    n-gram may have any number of names."""
+    return keys.select("key").where("key is not null").distinct().select(F.explode(ngram_keys(F.col("key"), share)).alias("gram"), "key").distinct()
+
+
+def known_relations(names: DataFrame, index: DataFrame) -> DataFrame:
+    """Names (page, key) that are a known key, with each entity's id and relations."""
+    return names.join(index.select("key", "id", "relations"), "key").select("page", "key", "id", "relations")
+
+
+def hits_by_page(persons: DataFrame, orgs: DataFrame, one_sided: bool = True) -> DataFrame:
+    """Page, n_per, n_org: the hits of either type of a page side by side. Pages with hits of one type only are kept
+    with none of the other; one_sided=False leaves them out, as the experimental matcher did."""
+    per, org = persons.groupBy("page").agg(F.count("*").alias("n_per")), orgs.groupBy("page").agg(F.count("*").alias("n_org"))
+    return per.join(org, "page", "full_outer" if one_sided else "inner").select("page", *(F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in ("n_per", "n_org")))
+
+
+def org_index_with_lemmas(registry: DataFrame, lemmas: Callable[[Column], Column]) -> DataFrame:
+    """T4: org_index with, beside each name's key, that of its lemmatised words; rows as in org_index, a key once."""
+    rows = org_index(registry)
+    other = F.array_join(lemmas(F.split("name", r"\s+")), " ")
+    every = rows.union(rows.select(normalize_name(other).alias("key"), "id", "name", "n_rows").where("key is not null"))
+    return every.distinct()
+
+
+def exploded_names(parts: dict[str, DataFrame]) -> DataFrame:
+    """Value: a line `page::key` for each single or cross match, and `key,id` beside it."""
+    rows = parts["single"].select("page", "key", "id").union(parts["cross"].select("page", "key", "id"))
+    return rows.select(F.concat_ws("::", F.col("page").cast("string"), "key").alias("value"), key_line(F.col("key"), F.col("id").cast("string")).alias("line"))

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.urls import domain, host
+from ..functions.urls import domain, host, page
+from ..tables import written
 
 
 def inlink_counts(links: DataFrame) -> DataFrame:
@@ -78,27 +79,38 @@ def loops(edges: DataFrame) -> DataFrame:
     return two.toDF("url", "other").union(pairs).distinct()
 
 
-def link_rank(edges: DataFrame, iterations: int = 10, damping: float = 0.85, skip: DataFrame | None = None, checkpoint_every: int = 5) -> DataFrame:
+def once_for_each_source(edges: DataFrame, limit_page: bool = True, limit_domain: bool = True) -> DataFrame:
+    """Of each target's inlinks one from a source page (address without query) and one from a source domain; the first
+    by address. The page goes first, as all links of a page are of one domain."""
+    out = edges
+    keys = [page(F.col("from_url"))] * limit_page + [domain(F.col("from_url"))] * limit_domain
+    for key in keys:
+        out = out.groupBy("to_url", key.alias("_k")).agg(F.min("from_url").alias("from_url")).select("from_url", "to_url")
+    return out
+
+
+def link_rank(edges: DataFrame, iterations: int = 10, damping: float = 0.85, skip: DataFrame | None = None, checkpoint_every: int = 5, limit_page: bool = False, limit_domain: bool = False) -> DataFrame:
     """Url, rank after so many rounds of rank = (1 - d) + d * (1 / N + sum of rank / outdegree over inlinks).
 
-    skip: loop pairs (url, other) whose edges do not count. Edges carry their source's outdegree and are partitioned by
-    source once; each round joins the ranks, which are as many as nodes, and sums by target. Lineage is cut by
-    checkpoint() into the shared folder every few rounds if there is one.
+    skip: loop pairs (url, other) whose edges do not count (J16). limit_page, limit_domain: see once_for_each_source. Edges
+    carry their source's outdegree and are written once; each round joins the ranks, which are as many as nodes, and sums
+    by target. Ranks are written to the shared folder every few rounds, which cuts the lineage.
     """
     e = edges.select("from_url", "to_url").distinct()
     if skip is not None:
         e = e.join(skip.select(F.col("url").alias("from_url"), F.col("other").alias("to_url")), ["from_url", "to_url"], "left_anti")
     urls = edges.select(F.col("from_url").alias("url")).union(edges.select("to_url")).distinct()
     degree = e.groupBy("from_url").agg(F.count("*").alias("degree"))
-    weighted = e.join(degree, "from_url").repartition("from_url").persist()
+    if limit_page or limit_domain:  # a page still gives its rank to all its links
+        e = once_for_each_source(e, limit_page, limit_domain)
+    weighted = written(e.join(degree, "from_url").repartition("from_url"), "edges")
     # the joined side is one row, the number of nodes
     ranks = urls.crossJoin(F.broadcast(urls.agg(F.count("*").alias("n")))).withColumn("rank", F.lit(1.0))
-    can_cut = edges.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined() or edges.sparkSession.sparkContext.getConf().get("spark.checkpoint.dir")
     for i in range(1, iterations + 1):
         given = weighted.join(ranks.select(F.col("url").alias("from_url"), "rank"), "from_url").groupBy(F.col("to_url").alias("url")).agg(F.sum(F.col("rank") / F.col("degree")).alias("given"))
         ranks = ranks.select("url", "n").join(given, "url", "left").select("url", "n", (F.lit(1 - damping) + damping * (1 / F.col("n") + F.coalesce("given", F.lit(0.0)))).alias("rank"))
-        if can_cut and i % checkpoint_every == 0 and i < iterations:
-            ranks = ranks.checkpoint()
+        if i % checkpoint_every == 0 and i < iterations:
+            ranks = written(ranks, "ranks")
     return ranks.select("url", "rank")
 
 

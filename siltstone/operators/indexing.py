@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions import urls as U
+from ..tables import written
+
 
 def assemble(parse_text: DataFrame, parse_data: DataFrame, db: DataFrame, fetch: DataFrame, inlinks: DataFrame) -> DataFrame:
     """Urls with text, data, a crawl record and a fetch; inlinks where there are any."""
@@ -16,10 +20,84 @@ def archive_documents(parse_text: DataFrame, parse_data: DataFrame) -> DataFrame
     return parse_text.join(parse_data, "url").where("segment is not null and signature is not null")
 
 
-def basic_fields(pages: DataFrame, nodes: DataFrame, fetches: DataFrame) -> DataFrame:
-    """Url, title, segment of its latest fetch, boost (node score)."""
+def basic_fields(pages: DataFrame, nodes: DataFrame, fetches: DataFrame, representatives: DataFrame | None = None) -> DataFrame:
+    """Url, orig_url, title, segment of its latest fetch, boost (node score).
+
+    representatives (orig_url, url): the address that stands for a redirected page. Such a page appears under it, with its
+    own address as orig_url and the larger of both scores; of several pages that flip to one address, or that address's own
+    page, the one with the largest boost stays (ties: the smallest orig_url).
+    """
     latest = fetches.groupBy("url").agg(F.max_by("segment", F.struct("fetch_time", "segment")).alias("segment"))
-    return pages.join(latest, "url").join(nodes, "url", "left").select("url", "title", "segment", F.coalesce("score", F.lit(0.0)).alias("boost"))
+    rows = pages.join(latest, "url").join(nodes, "url", "left").select("url", "title", "segment", F.coalesce("score", F.lit(0.0)).alias("boost"))
+    if representatives is None:
+        return rows.select("url", F.col("url").alias("orig_url"), "title", "segment", "boost")
+    flips = representatives.groupBy(F.col("orig_url").alias("url")).agg(F.min("url").alias("shown"))
+    flipped = rows.join(flips, "url", "left").withColumn("shown", F.coalesce("shown", "url"))
+    of_shown = nodes.select(F.col("url").alias("shown"), F.col("score").alias("shown_score"))
+    scored = flipped.join(of_shown, "shown", "left").withColumn("boost", F.greatest("boost", F.coalesce("shown_score", F.lit(0.0))))
+    best = scored.groupBy("shown").agg(F.min(F.struct((-F.col("boost")).alias("b"), "url", "title", "segment")).alias("x"))
+    return best.select(F.col("shown").alias("url"), F.col("x.url").alias("orig_url"), "x.title", "x.segment", (-F.col("x.b")).alias("boost"))
+
+
+def backfill_dates(docs: DataFrame, records: DataFrame, canonical: Column) -> DataFrame:
+    """Docs (url, digest, dates array) with, added to their dates, all those of records (url, digest, date14) of the
+    same canonical address and digest; distinct and in order. Null addresses or digests meet nothing; null dates are empty."""
+    more = records.where("url is not null and digest is not null and date14 is not null").groupBy("url", "digest").agg(F.collect_set("date14").alias("more")).toDF("r_url", "r_digest", "more")
+    joined = docs.withColumn("_canonical", canonical).join(more, (F.col("_canonical") == F.col("r_url")) & (F.col("digest") == F.col("r_digest")), "left")
+    none = F.array().cast("array<string>")
+    return joined.withColumn("dates", F.array_sort(F.array_union(F.coalesce("dates", none), F.coalesce("more", none)))).drop("_canonical", "r_url", "r_digest", "more")
+
+
+def sort_by_boost(docs: DataFrame, boost: str, key: str) -> DataFrame:
+    """Docs with their number (from 0) in an index sorted by falling boost, ties by key: ranges of the boost are sorted
+    each by itself, and only their sizes meet on the driver. Null boosts come last."""
+    order = [F.desc_nulls_last(boost), F.col(key).asc()]
+    ranged = docs.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
+    held = written(ranged, "sorted")
+    sizes = sorted(map(tuple, held.groupBy("_part").count().collect()))
+    starts, at = [], 0
+    for part, n in sizes:
+        starts.append((part, at))
+        at += n
+    offsets = docs.sparkSession.createDataFrame(starts, "_part int, _start long")
+    inside = held.withColumn("_n", F.row_number().over(W.partitionBy("_part").orderBy(*order)) - 1)
+    return inside.join(F.broadcast(offsets), "_part").withColumn("number", F.col("_start") + F.col("_n")).drop("_part", "_start", "_n")
+
+
+def hit_details(hits: DataFrame, stored: DataFrame, anchors: DataFrame) -> DataFrame:
+    """Hits (doc_id, score) with what the index stores of them (url, title, cached html) and the anchors that lead there,
+    distinct and in order; a document without a stored row has nulls."""
+    found = anchors.where(F.length("anchor") > 0).groupBy("to_url").agg(F.array_sort(F.collect_set("anchor")).alias("anchors"))
+    rows = hits.join(stored.select("doc_id", "url", "title", "html"), "doc_id", "left")
+    return rows.join(found, F.col("url") == F.col("to_url"), "left").select("doc_id", "score", "url", "title", F.col("html").alias("cached"), F.coalesce("anchors", F.array().cast("array<string>")).alias("anchors"))
+
+
+def inject_fields(pages: DataFrame, include: tuple[str, ...] = ("basic", "more", "tld", "licence"), max_title: int = 100) -> DataFrame:
+    """One column of index fields for each injector. pages: url, html, text, title, mime, modified (timestamp), length.
+
+    basic: host, site, url, content, title cut to max_title, cache (none if the page says noarchive). more: type as an array
+    of the whole and its halves, date, length. tld: public suffix. licence: address. Missing values are null.
+    """
+    from . import web as P
+
+    html, url = F.col("html"), F.col("url")
+    known = {
+        "basic": {"host": U.host(url), "site": U.site(url), "content": F.col("text"), "short_title": F.substring("title", 1, max_title), "cache": F.when(P.robots(html)["noarchive"], "content").otherwise("all")},
+        "more": {"type": U.mime_terms(U.mime(F.col("mime"))), "date": F.date_format("modified", "yyyyMMdd"), "content_length": F.col("length")},
+        "tld": {"tld": U.suffix(url)},
+        "licence": {"licence": P.licence(html)},
+    }
+    return pages.select("url", *(c.alias(n) for injector in include for n, c in known[injector].items()))
+
+
+def as_json(hits: DataFrame) -> DataFrame:
+    """X11: one JSON line for each hit."""
+    return hits.select(F.to_json(F.struct(*hits.columns)).alias("value"))
+
+
+def as_xml(hits: DataFrame, row_tag: str = "document") -> DataFrame:
+    """X11: one XML element for each hit, by Spark's own writer."""
+    return hits.select(F.to_xml(F.struct(*hits.columns), {"rowTag": row_tag}).alias("value"))
 
 
 def custom_fields(rows: DataFrame, basic: DataFrame) -> DataFrame:

@@ -62,12 +62,12 @@ def link_loops(spark, sf):
 
 
 def link_rank(spark, sf):
-    return G.link_rank(_graph(spark, sf), iterations=3).select("url", F.round("rank", 6).alias("rank"))
+    return G.link_rank(_graph(spark, sf)).select("url", F.round("rank", 6).alias("rank"))
 
 
 def link_dump(spark, sf):
     g = _graph(spark, sf)
-    return G.link_dump(g, G.link_rank(g, 1).select("url", F.round("rank", 6).alias("rank")), 5).select("to_url", "from_url", "rank", F.col("place").cast("bigint").alias("place"))
+    return G.link_dump(g, G.link_rank(g, 1).select("url", F.round("rank", 6).alias("rank"))).select("to_url", "from_url", "rank", F.col("place").cast("bigint").alias("place"))
 
 
 def top_anchors(spark, sf):
@@ -207,8 +207,8 @@ SQL = {
     "node_topn": f"with {_G}, {_NODES} select * from nodes order by inlinks desc, url limit 10",
     "link_loops": f"""with {_G}, {_ONE(False)}, e as (select distinct from_url as a, to_url as b from one), two as (select x.a, x.b from e x join e y on x.b = y.a and y.b = x.a),
 three as (select x.a, x.b, y.b as c from e x join e y on x.b = y.a join e z on z.a = y.b and z.b = x.a) select a as url, b as other from two union select a, b from three union select a, c from three""",
-    "link_rank": f"with {_rank_sql(3)} select url, round(rank, 6) as rank from r3",
-    "link_dump": f"with {_rank_sql(1)} select to_url, from_url, round(rank, 6) as rank, place from (select to_url, from_url, rank, row_number() over (partition by to_url order by round(rank, 6) desc, from_url) as place from e join r1 on r1.url = e.from_url) where place <= 5",
+    "link_rank": f"with {_rank_sql(10)} select url, round(rank, 6) as rank from r10",
+    "link_dump": f"with {_rank_sql(1)} select to_url, from_url, round(rank, 6) as rank, place from (select to_url, from_url, rank, row_number() over (partition by to_url order by round(rank, 6) desc, from_url) as place from e join r1 on r1.url = e.from_url) where place <= 50000",
     "top_anchors": f"with {_rank_sql(1)} select url, anchor, from_url, place from (select to_url as url, anchor, from_url, row_number() over (partition by to_url order by round(rank, 6) desc, from_url, anchor) as place from g join r1 on r1.url = g.from_url where to_url in (select from_url from g)) where place <= 3",
     "score_update": f"with {_rank_sql(1)} select {_N('s_suppkey')} as url, round(coalesce(rank, 0), 6) as score from supplier left join r1 on r1.url = {_N('s_suppkey')}",
     "opic_scores": f"with {_G}, e as (select distinct from_url, to_url from g), deg as (select from_url, count(*) as n from e group by 1), gift as (select to_url as url, sum(1.0 / n * case when {_H('from_url')} = {_H('to_url')} then 0.5 else 1.0 end) as gift from e join deg using (from_url) group by 1), s as (select distinct from_url as url, 1.0 as score from g) select url, round((coalesce(score, 0) + coalesce(gift, 0))::double, 6) as score from s full join gift using (url)",

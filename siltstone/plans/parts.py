@@ -15,8 +15,8 @@ from .graph import _G, _NODES, _graph
 
 
 def feed_entries(spark, sf):
-    """Every document as a feed of two entries, through the parser of its media type."""
-    head = F.substring("text", 1, 40)
+    """Every whole document as a feed of two entries, through the parser of its media type."""
+    head = F.regexp_replace("text", "\\]\\]>", "]]]]><![CDATA[>")
     xml = F.concat(F.lit("<rss><item><title>"), F.col("source"), F.lit("</title><link>http://x/"), F.col("doc_id"), F.lit("</link><description><![CDATA["), head, F.lit("]]></description></item><entry><title>"), F.col("lang"), F.lit('</title><link href="http://y/"/></entry></rss>'))
     rows = table(spark, sf, "documents").select("doc_id", xml.alias("xml"))
     return rows.select("doc_id", R.parse_by_type(F.col("xml"), F.lit("application/rss+xml")).alias("parsed"), X.feed_entries(F.col("xml"))[0]["body"].alias("body"))
@@ -25,7 +25,7 @@ def feed_entries(spark, sf):
 def payload_digest(spark, sf):
     """H2, H4, T22."""
     h = F.col("html").cast("binary")
-    return table(spark, sf, "pages").select("page_id", X.sha1_base32(h).alias("digest"), F.md5(F.concat("html", "url")).alias("signature"), X.to_hex(F.substring("url", 1, 4)).alias("hex"), X.from_hex(X.to_hex(F.substring("url", 1, 4))).cast("string").alias("back"))
+    return table(spark, sf, "pages").select("page_id", X.sha1_base32(h).alias("digest"), F.md5(F.concat("html", "url")).alias("signature"), X.to_hex(F.col("url")).alias("hex"), X.from_hex(X.to_hex(F.col("url"))).cast("string").alias("back"))
 
 
 def analyzed_terms(spark, sf):
@@ -51,10 +51,10 @@ def node_lookup(spark, sf):
 
 
 def fetch_order(spark, sf):
-    """Pages of each host in an order that only a hash decides; here the first of each host."""
+    """Every page with its place in its host's order, which only a hash decides."""
     p = table(spark, sf, "pages").select("page_id", "url", U.host(F.col("url")).alias("host"))
     spread = X.by_host(p, F.col("host"), 8).withColumn("n", F.row_number().over(W.partitionBy("host").orderBy(F.md5("url"))))
-    return spread.where("n = 1").select("page_id", "host")
+    return spread.select("page_id", "host", F.col("n").cast("bigint").alias("n"))
 
 
 def validity_at_capture(spark, sf):
@@ -70,11 +70,11 @@ def validity_at_capture(spark, sf):
 
 QUERIES = {f.__name__: f for f in (feed_entries, payload_digest, analyzed_terms, norms_and_scores, node_lookup, fetch_order, validity_at_capture)}
 SQL = {
-    "feed_entries": "select doc_id, source || ' http://x/' || doc_id || chr(10) || lang || ' http://y/' as parsed, trim(text[:40], ' ') as body from documents",
-    "payload_digest": "select page_id, 'sha1:' || array_to_string(list_transform(range(0, 8), lambda i: array_to_string(list_transform([15, 10, 5, 0], lambda b: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast((cast('0x' || substr(sha1(html), cast(1 + 5 * i as bigint), 5) as bigint) >> b) % 32 + 1 as bigint), 1)), '')), '') as digest, md5(html || url) as signature, lower(hex(url[:4])) as hex, url[:4] as back from pages",
+    "feed_entries": "select doc_id, source || ' http://x/' || doc_id || chr(10) || lang || ' http://y/' as parsed, trim(text, ' ') as body from documents",
+    "payload_digest": "select page_id, 'sha1:' || array_to_string(list_transform(range(0, 8), lambda i: array_to_string(list_transform([15, 10, 5, 0], lambda b: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast((cast('0x' || substr(sha1(html), cast(1 + 5 * i as bigint), 5) as bigint) >> b) % 32 + 1 as bigint), 1)), '')), '') as digest, md5(html || url) as signature, lower(hex(encode(url))) as hex, url as back from pages",
     "analyzed_terms": f"with t as (select doc_id, lang, list_transform(regexp_extract_all(text, '{T.TOKEN}'), lambda t: lower(replace(t, '.', ''))) as t from documents) select doc_id, array_to_string(case when lang in ('de', 'fr') then list_transform(t, lambda w: coalesce(nullif(regexp_extract(w, '^(.*?\\p{{L}}{{4}})(?:ern|em|er|en|es|e|s)$', 1), ''), w)) else t end, ' ') as terms from t",
     "norms_and_scores": f"with {_G}, {_NODES} select url, round(1.0::double / sqrt(outlinks + 1) * case when inlinks >= 1 then log10(inlinks) + 1 else 1 end, 6) as norm, round(inlinks * 0.5::double, 6) as sort_key, round(inlinks * 2.0::double, 6) as index_score from nodes",
     "node_lookup": f"with {_G}, {_NODES}, u as (select min(url) as url, count(*) as nodes from nodes) select url, nodes, (select count(distinct from_url) from g where to_url = url) as inlinks, (select count(distinct to_url) from g where from_url = url) as outlinks from u",
-    "fetch_order": "select page_id, host from (select page_id, url, lower(regexp_extract(url, '://([^/?#:]*)', 1)) as host from pages) qualify row_number() over (partition by host order by md5(url)) = 1",
+    "fetch_order": "select page_id, host, row_number() over (partition by host order by md5(url)) as n from (select page_id, url, lower(regexp_extract(url, '://([^/?#:]*)', 1)) as host from pages)",
     "validity_at_capture": "select a.o_orderkey, b.o_orderkey as relation from orders a join orders b on a.o_custkey = b.o_custkey and a.o_orderkey <> b.o_orderkey and a.o_orderdate between b.o_orderdate and b.o_orderdate + interval 30 day",
 }

@@ -130,7 +130,7 @@ def index_assembly(spark, sf):
 
 def custom_fields(spark, sf):
     p = table(spark, sf, "pages")
-    lines = p.select(F.concat_ws("\t", "url", F.lit("tag"), F.substring("url", 1, 5), F.when(F.col("page_id") % 2 == 0, (F.col("page_id") / 4).cast("string"))).alias("value")).union(p.select(F.concat_ws("\t", "url", F.lit("short"))))
+    lines = p.select(F.concat_ws("\t", "url", F.lit("tag"), "url", F.when(F.col("page_id") % 2 == 0, (F.col("page_id") / 4).cast("string"))).alias("value")).union(p.select(F.concat_ws("\t", "url", F.lit("short"))))
     return X.custom_fields(lines, p.where(F.startswith("url", F.lit("https"))).select("url")).select("url", "name", "content", F.round("score", 6).alias("score"))
 
 
@@ -174,6 +174,6 @@ p as (select doc_id, string_agg(t || ' ' || k, chr(10) order by k desc, t) as pr
     "index_config": "select doc_id, lang as language, lower(source) as source, 'web' as collection from documents",
     "index_assembly": rf"""with {_A}, i as (select to_url as url, count(*) as inlinks from l group by 1) select p.url, {_TITLE} as title, 's' || (page_id % 4) as segment, md5(html) as signature, page_id % 6 + 1 as status, page_id * 10 as fetched, coalesce(inlinks, 0) as inlinks,
 length({_TEXT}) as text_length from pages p left join i on p.url = i.url where not contains(p.url, 'ref=') and regexp_matches(html, '(?is)<title[^>]*>.*?</title>')""",
-    "custom_fields": "select url, 'tag' as name, url[:5] as content, round(case when page_id % 2 = 0 then page_id / 4 else 0 end, 6) as score from pages where starts_with(url, 'https')",
+    "custom_fields": "select url, 'tag' as name, url as content, round(case when page_id % 2 = 0 then page_id / 4 else 0 end, 6) as score from pages where starts_with(url, 'https')",
     "segment_listing": "select 'seg' || (page_id % 3) as segment, case when page_id % 2 = 0 then 'content' else 'parse_text' end as part, count(*) as n, min(url) as first_key, max(url) as last_key from pages group by all",
 }

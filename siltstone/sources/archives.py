@@ -1,7 +1,9 @@
 """Archive files as a Spark data source: `spark.read.format("warc")`.
 
 One partition for each file; .gz files are read member by member. Records are parsed by their lengths, so that nothing in
-a payload is mistaken for a record. Files are opened with Python, so they must lie in a folder that executors share.
+a payload is mistaken for a record; a record without a readable length is a row of type "malformed" (S19), after which
+reading goes on at the next line that begins a record. Files are opened through Arrow's file systems, so any store that
+these know (local, HDFS, S3, GCS) will do.
 """
 
 from __future__ import annotations
@@ -14,7 +16,9 @@ import os
 import re
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyarrow import fs as pafs
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -74,7 +78,11 @@ def warc_records(stream, file: str, limit: int = LIMIT) -> Iterator[tuple]:
         if not line.startswith(b"WARC/"):
             continue
         head = _headers(stream)
-        length = int(head.get("content-length", "0") or 0)
+        said = head.get("content-length", "0") or "0"
+        if not re.fullmatch(r"\d{1,18}", said):
+            yield _row(file, offset, "malformed", head, b"", limit)
+            continue
+        length = int(said)
         block = stream.read(length)
         yield _row(file, offset, head.get("warc-type", ""), head, block, limit)
         if len(block) < length:
@@ -99,22 +107,28 @@ def arc_records(stream, file: str, limit: int = LIMIT) -> Iterator[tuple]:
 
 class _Reader(DataSourceReader):
     def __init__(self, options):
-        self.path, self.limit = options["path"], int(options.get("limit", LIMIT))
+        self.path, self.limit, self.pattern = options["path"], int(options.get("limit", LIMIT)), options.get("pattern", r"\.w?arc(\.gz)?$")
+
+    def _store(self):
+        uri = self.path if re.match(r"^[a-z][a-z0-9+.-]*:/", self.path) else f"file://{os.path.abspath(self.path)}"
+        return pafs.FileSystem.from_uri(re.sub("^file:/+", "file:///", uri))
 
     def partitions(self):
-        path = re.sub("^file:/*", "/", self.path)
-        files = [path] if os.path.isfile(path) else sorted(os.path.join(d, f) for d, _, names in os.walk(path) for f in names if re.search(r"\.w?arc(\.gz)?$", f))
-        return [InputPartition(f) for f in files]
+        store, path = self._store()
+        if store.get_file_info(path).type == pafs.FileType.File:
+            return [InputPartition(path)]
+        found = store.get_file_info(pafs.FileSelector(path, recursive=True))
+        return [InputPartition(f.path) for f in sorted(found, key=lambda f: f.path) if f.is_file and re.search(self.pattern, f.base_name)]
 
     def read(self, partition):
-        file = partition.value
-        opened = gzip.open(file, "rb") if file.endswith(".gz") else open(file, "rb")
-        with opened as stream:
+        file, (store, _) = partition.value, self._store()
+        with store.open_input_file(file) as raw:
+            stream = io.BufferedReader(gzip.GzipFile(fileobj=raw) if file.endswith(".gz") else raw, 1 << 20)
             yield from (arc_records if re.search(r"\.arc(\.gz)?$", file) else warc_records)(stream, file, self.limit)
 
 
 class WarcSource(DataSource):
-    """format("warc"): options path and limit."""
+    """format("warc"): options path, limit (bytes of a payload) and pattern (of file names)."""
 
     @classmethod
     def name(cls):
@@ -127,9 +141,20 @@ class WarcSource(DataSource):
         return _Reader(self.options)
 
 
-def read_archives(spark: SparkSession, path: str, limit: int = LIMIT) -> DataFrame:
+def read_archives(spark: SparkSession, path: str, limit: int = LIMIT, pattern: str | None = None) -> DataFrame:
     spark.dataSource.register(WarcSource)
-    return spark.read.format("warc").option("limit", limit).load(path)
+    reader = spark.read.format("warc").option("limit", limit)
+    return (reader.option("pattern", pattern) if pattern else reader).load(path)
+
+
+def _decoded(payload: Column, charset: Column) -> Column:
+    """Bytes in any charset that Python knows; what does not fit becomes U+FFFD. Null stays null."""
+
+    @F.pandas_udf("string")
+    def run(payloads: pd.Series, charsets: pd.Series) -> pd.Series:
+        return pd.Series([None if p is None else bytes(p).decode(c or "utf-8", "replace") for p, c in zip(payloads, charsets)], dtype=object)
+
+    return run(payload, charset)
 
 
 def responses(records: DataFrame, statuses: str = "200-299") -> DataFrame:
@@ -137,5 +162,6 @@ def responses(records: DataFrame, statuses: str = "200-299") -> DataFrame:
     from ..functions.urls import page_key, status_in
 
     kept = records.where((F.col("type") == "response") & status_in(F.col("status"), statuses))
-    text = F.when(F.col("charset").isin("iso-8859-1", "latin-1", "windows-1252"), F.decode("payload", "ISO-8859-1")).when(F.col("charset").startswith("utf-16"), F.decode("payload", "UTF-16")).otherwise(F.decode("payload", "UTF-8"))
+    plain = F.col("charset").isin("utf-8", "utf8", "us-ascii", "ascii")
+    text = F.when(plain, F.make_valid_utf8(F.col("payload").cast("string"))).otherwise(_decoded(F.when(~plain, F.col("payload")), F.col("charset")))
     return kept.select(page_key(F.col("url"), F.col("date14")).alias("page_id"), text.alias("html"))

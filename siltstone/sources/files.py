@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ast
+import json
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,11 +62,37 @@ def parse_exclusions(lines: DataFrame) -> DataFrame:
     return lines.select(*(F.coalesce(F.trim(F.get(part, F.lit(i))), F.lit("")).alias(c) for i, c in enumerate(("name", "tag1", "synonym", "tag2")))).where("name <> 'name' and name <> ''")
 
 
+def _as_json(line: str | None) -> str | None:
+    """A Python literal of a key and a dictionary as JSON; null if a line is none."""
+    try:
+        key, value = ast.literal_eval(line.strip())
+        return json.dumps({"page": key, **value}) if isinstance(value, dict) else None
+    except (ValueError, SyntaxError, TypeError, AttributeError, MemoryError, RecursionError):
+        return None
+
+
+def _literal(lines: Column) -> Column:
+    """The annotator's own lines as JSON. Python's quoting is beyond patterns, so this is a vectorised function."""
+
+    @F.pandas_udf("string")
+    def run(values: pd.Series) -> pd.Series:
+        return values.map(_as_json)
+
+    return run(lines)
+
+
 def parse_annotations(lines: DataFrame) -> DataFrame:
-    """page_id, names and labels of JSON lines; sentinels and lines under ten characters have none."""
-    row = F.from_json("value", "page_id string, status string, ner struct<named_entities: array<string>, named_entity_labels: array<string>>")
-    found = lines.where((F.length("value") >= 10) & ~F.contains("value", F.lit("NO_TEXT"))).select(row.alias("r"))
-    return found.where("r.ner is not null").select("r.page_id", F.explode(F.arrays_zip("r.ner.named_entities", "r.ner.named_entity_labels")).alias("e")).select(F.col("page_id").alias("page"), F.col("e.named_entity_labels").alias("label"), F.col("e.named_entities").alias("entity"))
+    """Page, label, entity of JSON lines, or of the annotator's own literals `('key', {'named_entities': [...], ...})`
+    with the names at the top or under ner; labels may be missing (null). Sentinels, lines under ten characters and lines
+    that are neither have none."""
+    ner = "named_entities: array<string>, named_entity_labels: array<string>"
+    own = lines.where((F.length("value") >= 10) & F.rlike("value", F.lit(r"^\s*\("))).select(_literal(F.col("value")).alias("value"))
+    other = lines.where((F.length("value") >= 10) & ~F.rlike("value", F.lit(r"^\s*\(|^[^{]*NO_TEXT"))).select("value")
+    rows = own.union(other).select(F.from_json("value", f"page string, page_id string, {ner.replace(':', '')}, ner struct<{ner}>").alias("r"))
+    names = F.coalesce("r.named_entities", "r.ner.named_entities")
+    labels = F.coalesce("r.named_entity_labels", "r.ner.named_entity_labels", F.array().cast("array<string>"))
+    found = rows.where(F.col("r").isNotNull()).select(F.coalesce("r.page", "r.page_id").alias("page"), F.arrays_zip(names.alias("n"), labels.alias("l")).alias("z"))
+    return found.select("page", F.explode("z").alias("e")).select("page", F.col("e.l").alias("label"), F.col("e.n").alias("entity"))
 
 
 def last_modified(header: Column) -> Column:
@@ -98,3 +128,8 @@ def merge_sorted(tables: list[DataFrame], key: str) -> DataFrame:
 def append_ledger(paths: DataFrame, ledger: str) -> None:
     """Paths that are done (or failed), added to their ledger."""
     paths.select("path").write.mode("append").parquet(ledger)
+
+
+def xml_rows(spark: SparkSession, path: str, row_tag: str, schema: str) -> DataFrame:
+    """The elements of a name in XML files as rows, by Spark's own XML source; bad elements have null columns."""
+    return spark.read.format("xml").option("rowTag", row_tag).option("mode", "PERMISSIVE").schema(schema).load(path)
