@@ -39,6 +39,8 @@ FREQUENT, TASK_FREQUENT = 1 << 19, 1 << 16
 #: Cells of up to so many classes are compared directly.
 SMALL = 24
 LEAF = 16
+#: Pairs whose points are compared at once (some kilobytes each).
+PAIRS = 8192
 _MOST = 65535
 
 
@@ -267,8 +269,8 @@ class CountTree:
             if level:
                 todo.append((level - 1, i, j))
             else:
-                for lo in range(0, len(i), 65536):
-                    x, y = i[lo : lo + 65536], j[lo : lo + 65536]
+                for lo in range(0, len(i), PAIRS):
+                    x, y = i[lo : lo + PAIRS], j[lo : lo + PAIRS]
                     differ = self.component[x] != self.component[y]
                     x, y = x[differ], y[differ]
                     good = np.minimum(self.points[x], self.points[y]).sum(1) >= reachable(self.sizes[x], self.sizes[y], t)
@@ -373,7 +375,8 @@ def _tree_join(t: int, best: bool):
     def cells(table: pa.Table) -> Iterator[pa.RecordBatch]:
         c = _Cells(table)
         name, vec, n, comp = table.column("cls").to_numpy(), _points(table.column("point")), c.of["n"], c.of["component"]
-        over = lambda i, j: np.minimum(vec[i], vec[j]).sum(1, dtype=np.int64) / reachable(n[i], n[j], t)
+        bound = lambda i, j: np.concatenate([np.zeros(0, np.int64), *(np.minimum(vec[i[x : x + PAIRS]], vec[j[x : x + PAIRS]]).sum(1, dtype=np.int64) for x in range(0, len(i), PAIRS))])
+        over = lambda i, j: bound(i, j) / reachable(n[i], n[j], t)
         out: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
         for i, j in c.shifted(t, SMALL):
             ok = over(i, j) >= 1
