@@ -408,6 +408,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     """Rows (id, item_id, cosine, lcs, answer, run, start, end): an item found in a text, once at the best window (words) that passes.
 
     Whole texts are searched, with all items, in blocks of ITEMS. Null, empty and wordless texts or items match nothing;
+    an item of one or two words needs as many hits as it has words to be looked at, and is found where they stand;
     repeated rows match each; copies of an item match under each id, a null item id too. Empty tables give no rows. Only
     id and text are read of either table, so other columns may have any name. The benchmark is read in slices of
     SCAN_ITEMS, so that what is broadcast is bounded by an item's length.

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,32 +9,30 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..tables import remove, shared_folder
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where it is unset (tests on one machine), one of our own is set."""
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        kept = spark.sparkContext._jsc.sc().getCheckpointDir()
-        folder = kept.get() if kept.isDefined() else tempfile.mkdtemp(prefix="siltstone-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+
+#: Folders of stored tables in the order in which they were made.
+_made: list[tuple[SparkSession, str]] = []
 
 
 def scratch(spark: SparkSession, what: str) -> str:
-    """A fresh path in the shared folder, removed when the driver ends."""
-    path = f"{shared_dir(spark)}/siltstone-{what}-{uuid.uuid4().hex}"
-    atexit.register(_remove, spark, path)
+    """A fresh path in the cluster's shared folder, removed by `release` or when the driver ends."""
+    path = shared_folder(spark, what)
+    _made.append((spark, path))
     return path
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    if jvm is not None and spark.sparkContext._jsc is not None:
-        try:
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-        except Exception:  # the JVM has gone already; the folder is scratch space
-            pass
+def held() -> int:
+    """How many tables have been stored and not released."""
+    return len(_made)
+
+
+def release(since: int) -> None:
+    """Delete the tables stored after the first `since`, but for the newest: what led to it is not read again."""
+    for spark, path in _made[since:-1]:
+        remove(spark, path)
+    del _made[since:-1]
 
 
 def stored(df: DataFrame, what: str, partition_by: str | None = None) -> DataFrame:

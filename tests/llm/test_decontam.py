@@ -100,3 +100,10 @@ def test_decoys_do_not_hide_a_copy(spark):
             want.add((len(docs) - 1, i))
     got = decontam.find_contamination(spark.createDataFrame(docs, "doc_id long, text string"), table(spark, SF, "benchmark"))
     assert not want - {(x.doc_id, x.item_id) for x in got.collect()}
+
+
+def test_short_items(spark):
+    docs = spark.createDataFrame([(1, "we saw a zebra quagga there"), (2, "an okapi"), (3, "nothing here"), (4, None), (5, "quagga first then zebra " * 3)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "Zebra, quagga!"), (2, "okapi"), (3, ""), (4, None)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontam.find_contamination(docs, bench).collect()}
+    assert got == {(1, 1), (2, 2), (5, 1)}

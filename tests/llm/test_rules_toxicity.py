@@ -1,3 +1,4 @@
+import math
 import re
 import zlib
 from collections import Counter
@@ -9,6 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from siltstone.llm import rules, toxicity
+from siltstone.llm.shared import fit_logistic
 from siltstone.tables import table
 
 SF = "/root/testdata/sf0.01"
@@ -129,6 +131,52 @@ def test_toxicity_held_out(spark):
     assert hit.mean() > 0.96 and got[got.predicted == 1].toxic.mean() > 0.95 and got[got.toxic == 1].predicted.mean() > 0.75
 
 
+def toxicity_by_hand(rows, labels, features=1024):
+    """Scores by counters over n-grams as strings; a bucket is the hash of one of them."""
+    known = {}
+    for i, y in labels:
+        if i is not None and y is not None and zlib.crc32(str(i).encode()) % 5:
+            known[i] = max(known.get(i, 0), y)
+    bucket_of = {}
+
+    def buckets(text):
+        text = re.sub("[\t-\r]", " ", (text or "").lower())
+        found = set()
+        for n in toxicity.ORDERS:
+            for gram in {text[k : k + n] for k in range(len(text) - n + 1)}:
+                if gram not in bucket_of:
+                    bucket_of[gram] = int(toxicity._grams(toxicity._codes(gram.encode()), n)[0])
+                found.add(bucket_of[gram])
+        return found
+
+    has = [buckets(t) for _, t in rows]
+    train = [(k, known[i]) for k, (i, _) in enumerate(rows) if i in known]
+    counts = [Counter(b for k, y in train if y == c for b in has[k]) for c in (0, 1)]
+    q, p = (sum(y == c for _, y in train) for c in (0, 1))
+    every = []
+    for b in counts[0] | counts[1]:
+        a, z = counts[1][b], counts[0][b]
+        if a + z >= 3:
+            r = math.log((a + 0.5) / (p + 1)) - math.log((z + 0.5) / (q + 1))
+            every.append((-abs(r) / math.sqrt(1 / (a + 0.5) + 1 / (z + 0.5)), b, r))
+    every.sort()
+    chosen = [(b, r) for _, b, r in every[:features]]
+    data = sorted(((y, [b in has[k] for b, _ in chosen]) for k, y in train), key=lambda x: (x[0], np.packbits(x[1]).tobytes()))
+    x = np.array([f for _, f in data], np.float32) * np.array([r for _, r in chosen], np.float32)
+    w, b0 = fit_logistic(x, np.array([y for y, _ in data], float), l2=3.0)
+    gain = {b: wi * r for (b, r), wi in zip(chosen, w)}
+    return [1 / (1 + math.exp(-min(max(b0 + sum(gain[b] for b in found if b in gain), -40), 40))) for found in has]
+
+
+def test_toxicity_equals_brute_force(spark):
+    docs, labels = table(spark, SF, "documents").repartition(3), table(spark, SF, "labels")
+    rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+    want = dict(zip((i for i, _ in rows), toxicity_by_hand(rows, [(r.doc_id, r.toxic) for r in labels.collect()])))
+    got = {r.doc_id: (r.score, r.predicted, r.held_out) for r in toxicity.score_toxicity(docs, labels).collect()}
+    assert got.keys() == want.keys() and max(abs(got[i][0] - want[i]) for i in want) < 1e-4
+    assert all(p == (s >= 0.5) and h == (zlib.crc32(str(i).encode()) % 5 == 0) for i, (s, p, h) in got.items())
+
+
 def test_grams_in_slices(monkeypatch):
     texts = ["abc déf " * 20, "", "x" * 9, None, "Größe idiot"]
     whole = [(f + d).tolist() and list(zip((f + d).tolist(), v.tolist())) for f, d, v in toxicity.hits(pa.array(texts))]
