@@ -7,7 +7,8 @@ smoothing), and one left-to-right pass carries the state and adds weights up. k
 
 The automaton of a large corpus fits no machine. Texts are stored in blocks of bounded size; a block asks for the counts
 of its own distinct n-grams, in one array for each range of hashes, and gets the part of the automaton that it can visit.
-N-grams are known by 64-bit hashes.
+N-grams are known by 64-bit hashes. The most frequent ones, which every block would ask for, are counted by each task for
+itself and added up; their totals, a bounded table, are broadcast, so that no range gets a row of them from every block.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ from .words import mix, words
 
 #: Bytes of text in a block (more only if one text is longer), and of text for each range of hashes.
 BLOCK_BYTES, RANGE_BYTES = 6 << 20, 16 << 20
+#: N-grams that are broadcast with their counts (24 bytes each), and those that a task puts up for that.
+HOT, TASK_HOT = 1 << 16, 1 << 14
 #: Strengths of smoothing that leave-one-out likelihood chooses from.
 STRENGTHS = (4.0, 16.0, 64.0, 256.0, 1024.0, 4096.0, 65536.0)
 _END = np.uint64(0x5EED5EED5EED5EED)
@@ -105,17 +108,77 @@ def _ranges(keys: np.ndarray, n: int) -> np.ndarray:
     return np.searchsorted(part, np.arange(n + 1, dtype=np.uint64))
 
 
-def _requests(ranges: int):
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[_Block]:
+    for batch in batches:
+        for texts in batch.column("texts"):
+            yield _Block(texts.as_py())
+
+
+def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The n-grams that a task's blocks hold most often, (pair, key, n). Any are right; good ones keep ranges small."""
+    held = [(np.zeros(0, np.uint64), np.zeros(0, np.int64)) for _ in (0, 1)]
+    for b in _texts(batches):
+        for i, (keys, which) in enumerate(((b.word, b.at), (b.pair, b.pair_at))):
+            n = np.bincount(which, minlength=len(keys))
+            some = n >= 8
+            every, at = np.unique(np.concatenate([held[i][0], keys[some]]), return_inverse=True)
+            total = np.bincount(at, np.concatenate([held[i][1], n[some]]), len(every)).astype(np.int64)
+            top = np.argsort(-total, kind="stable")[: 4 * TASK_HOT]
+            held[i] = every[top], total[top]
+    for i, (keys, n) in enumerate(held):
+        top = np.argsort(-n, kind="stable")[:TASK_HOT]
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(top), bool(i))), pa.array(keys[top].view(np.int64)), pa.array(n[top])], ["pair", "key", "n"])
+
+
+def _hot_keys(blocks: DataFrame) -> list[np.ndarray]:
+    """Sorted keys of the HOT most frequent n-grams at most: words, then pairs."""
+    counts = blocks.select("texts").mapInArrow(_candidates, "pair boolean, key long, n long").groupBy("pair", "key").agg(F.sum("n").alias("n"))
+    rows = counts.orderBy(F.desc("n"), "pair", "key").limit(HOT).select("pair", "key").toArrow()
+    pair, key = rows.column("pair").to_numpy().astype(bool), rows.column("key").to_numpy().view(np.uint64)
+    return [np.sort(key[~pair]), np.sort(key[pair])]
+
+
+def _hot_counts(blocks: DataFrame, keys: list[np.ndarray]) -> list[np.ndarray]:
+    """Their training counts over all blocks: a sum for each task, added up by number."""
+    held, split = blocks.sparkSession.sparkContext.broadcast(keys), len(keys[0])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(sum(map(len, held.value)), np.int64)
+        for b in _texts(batches):
+            for first, hot, mine, which in ((0, held.value[0], b.word, b.at), (split, held.value[1], b.pair, b.pair_at)):
+                at, there = _find(hot, mine)
+                np.add.at(total, first + at[there], b.counts(which, len(mine))[there])
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["at", "n"])
+
+    rows = blocks.select("texts").mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(sum(map(len, keys)), np.int64)
+    out[rows.column("at").to_numpy()] = rows.column("n").to_numpy()
+    return [out[:split], out[split:]]
+
+
+def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of each wanted key in the sorted keys, and whether it is there."""
+    if not len(keys):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return at, keys[at] == wanted
+
+
+def _requests(ranges: int, hot):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, texts in zip(batch.column(0).to_pylist(), batch.column(1)):
                 b = _Block(texts.as_py())
-                cw, cp = b.counts(b.at, len(b.word)), b.counts(b.pair_at, len(b.pair))
-                rw, rp = _ranges(b.word, ranges), _ranges(b.pair, ranges)
+                rest = []
+                for known, keys, which in ((hot.value[0], b.word, b.at), (hot.value[1], b.pair, b.pair_at)):
+                    rare = ~_find(known, keys)[1]
+                    rest += [keys[rare], b.counts(which, len(keys))[rare]]
+                rw, rp = _ranges(rest[0], ranges), _ranges(rest[2], ranges)
                 some = [i for i in range(ranges) if rw[i + 1] > rw[i] or rp[i + 1] > rp[i]]
                 for lot in (some[i : i + 64] for i in range(0, len(some), 64)):
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(lot, pa.int64()), pa.array([name] * len(lot), pa.int64())] + [pa.array([_zip(a[r[i] : r[i + 1]]) for i in lot], pa.binary()) for a, r in ((b.word, rw), (cw, rw), (b.pair, rp), (cp, rp))],
+                        [pa.array(lot, pa.int64()), pa.array([name] * len(lot), pa.int64())] + [pa.array([_zip(a[r[i] : r[i + 1]]) for i in lot], pa.binary()) for a, r in zip(rest, (rw, rw, rp, rp))],
                         ["range", "block", "word", "cw", "pair", "cp"],
                     )
 
@@ -145,7 +208,16 @@ def arc_weights(c_pair, c_before, p_root, strength: float):
     return np.where(c_pair > 0, arc, fail)
 
 
-def _traverse(total: int, distinct: int, kind: pa.DataType):
+def _all_counts(keys: np.ndarray, hot: np.ndarray, counts: np.ndarray, answers) -> np.ndarray:
+    """Counts of a block's sorted keys: of the hot ones from their table, of the rest from the answers, in order of range."""
+    at, there = _find(hot, keys)
+    out = np.zeros(len(keys), np.int64)
+    out[there] = counts[at[there]] if len(counts) else 0
+    out[~there] = np.concatenate([np.zeros(0, np.int64), *(_unzip(x.as_py(), np.int64) for x in answers)])
+    return out
+
+
+def _traverse(total: int, distinct: int, kind: pa.DataType, hot):
     """Scores of a block's texts: the states visited are known from the text, so all steps are weighed at once."""
     base = total + 0.1 * (distinct + 1)
 
@@ -155,7 +227,7 @@ def _traverse(total: int, distinct: int, kind: pa.DataType):
         for raw in texts.column("texts"):
             b = _Block(raw.as_py())
             n = b.rows.num_rows
-            cw, cp = (np.concatenate([_unzip(x.as_py(), np.int64) for x in answers.column(c)]) for c in ("cw", "cp"))
+            cw, cp = (_all_counts(keys, hot.value[0][i], hot.value[1][i], answers.column(c)) for i, (keys, c) in enumerate(((b.word, "cw"), (b.pair, "cp"))))
             c, before, pair = cw[b.at], cw[b.before], cp[b.pair_at]
             add = lambda x, b=b, n=n: np.bincount(b.doc, x, n)
             root = (c + 0.1) / base
@@ -195,10 +267,14 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     blocks = stored(source.mapInArrow(_blocks, "block long, bytes long, texts binary"), "blocks")
     size = blocks.agg(F.sum("bytes")).first()[0] or 0
     ranges = max(4, -(-size // RANGE_BYTES))
-    asked = blocks.select("block", "texts").mapInArrow(_requests(ranges), "range long, block long, word binary, cw binary, pair binary, cp binary")
+    keys = _hot_keys(blocks)
+    counts = _hot_counts(blocks, keys)
+    context = docs.sparkSession.sparkContext
+    asked = blocks.select("block", "texts").mapInArrow(_requests(ranges, context.broadcast(keys)), "range long, block long, word binary, cw binary, pair binary, cp binary")
     answers = stored(asked.groupBy("range").applyInArrow(_answer, "block long, range long, cw binary, cp binary, v long, n long"), "answers")
     distinct, total = answers.agg(F.coalesce(F.sum("v"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
-    walk = _traverse(total, distinct, to_arrow_type(kind))
+    distinct, total = distinct + int((counts[0] > 0).sum()), total + int(counts[0].sum())
+    walk = _traverse(total, distinct, to_arrow_type(kind), context.broadcast((keys, counts)))
     schema = f"_id {kind.simpleString()}, held_out boolean, n_tokens long, n_known long, base_score double, scores array<double>, loo array<double>"
     rows = stored(blocks.select("block", "texts").groupBy("block").cogroup(answers.select("block", "range", "cw", "cp").groupBy("block")).applyInArrow(walk, schema), "scores")
     fit = rows.agg(*(F.sum(F.col("loo")[i]) for i in range(len(STRENGTHS)))).first()
