@@ -348,17 +348,19 @@ def _search(model, verdict: Verdict, least: int):
         i_row, i_place, i_word = _flat(batch, ("i_place", "i_word"))
         at = i_row.astype(np.int64) << 32 | i_place
         found = [np.zeros((0, 4))]
-        for width in WINDOWS:
-            ends = np.searchsorted(at, at + width)
-            starts = np.flatnonzero(ends - np.arange(len(at)) >= least)
-            for s in (starts[lo : lo + 2048] for lo in range(0, len(starts), 2048)):
-                low, high = int(s[0]), int(ends[s[-1]])
-                total = np.zeros((high - low + 1, loading.shape[1]), np.float32)
-                np.cumsum(loading[column[i_word[low:high]]], axis=0, out=total[1:])
-                x = total[ends[s] - low] - total[s - low]
+        wide = np.searchsorted(at, at + max(WINDOWS))
+        starts = np.flatnonzero(wide - np.arange(len(at)) >= least)
+        narrow = [(w, np.searchsorted(at, at + w)) for w in WINDOWS if w < max(WINDOWS)]
+        for s in (starts[lo : lo + 2048] for lo in range(0, len(starts), 2048)):
+            low, high = int(s[0]), int(wide[s[-1]])
+            total = np.zeros((high - low + 1, loading.shape[1]), np.float32)
+            np.cumsum(loading[column[i_word[low:high]]], axis=0, out=total[1:])
+            # a narrow window with the same hits as the wide one is the same vector
+            for ends, mine in [(wide, s), *((e, s[(e[s] - s >= least) & (e[s] < wide[s])]) for _, e in narrow)]:
+                x = total[ends[mine] - low] - total[mine - low]
                 cosine = (x @ query) / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
                 i, j = np.nonzero(cosine >= COSINE)
-                found.append(np.stack([i_row[s[i]], j, cosine[i, j], i_place[s[i]]], 1))
+                found.append(np.stack([i_row[mine[i]], j, cosine[i, j], i_place[mine[i]]], 1))
         hit, j = _run_starts(row, place, word, runs, verdict.run)
         key = row[hit].astype(np.int64) << 32 | place[hit]
         cosine = np.zeros(len(hit))
