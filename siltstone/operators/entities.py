@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.names import EXCLUDE_TAGS, SYNONYM_TAGS, alternatives, key_line, name_keys, nearest_distance, ngram_keys, normalize_name
 from ..tables import written
 
-#: Relations of an entity up to which it is met through them; those of a hub are met page by page.
+#: Multis of a page up to which all its singles are compared with them; on larger pages these meet through their relations.
 HUB = 1_000
 
 
@@ -60,16 +60,29 @@ def mention_keys(names: DataFrame, excluded_names: DataFrame) -> DataFrame:
     return names.join(barred.withColumn("barred", F.lit(True)), "name", "left").select("name", F.col("barred").isNull().alias("per_ok"), F.explode(name_keys(F.col("name"))).alias("key"))
 
 
+class _Parts(dict):
+    """Tables by name, each made when it is first asked for: a query of one outcome does not wait for the others."""
+
+    def __init__(self, makers: dict[str, Callable[[], DataFrame]]):
+        super().__init__()
+        self._makers = makers
+
+    def __missing__(self, name: str) -> DataFrame:
+        self[name] = self._makers[name]()
+        return self[name]
+
+
 def resolve(mentions: DataFrame, registry: DataFrame, exclusions: DataFrame, lone_first_names: bool = True) -> dict[str, DataFrame]:
     """The whole resolution: excluded, matchless (both in one table as idle, with their state), single, cross and noncross
-    as DataFrames.
+    as DataFrames, each made when it is asked for.
 
     Exclusion tests the key as it is, synonyms replace it after (R3). A key with one entity of a type is single, with
     more multi; a multi's candidate is cross-matched if it shares a registry row with exactly one single match of the
     other type on its page, counted by mention and key (R1). Multis without such a candidate are noncross.
 
-    Keys, exclusions, synonyms and candidates depend on the name alone, so they are found once for each distinct name;
-    pages only join their result. What several outcomes read is written once to the shared folder.
+    Keys, exclusions, synonyms and the number of a key's entities depend on the name alone, so they are found once for each
+    distinct name; pages only join their result. A page's row of a key stands for all its entities: they are told apart only
+    where a single is related to them. What several outcomes read is written once to the shared folder.
     """
     persons, orgs = person_index(registry), org_index(registry)
     excluded, barred, synonyms = exclusion_sets(exclusions)
@@ -79,34 +92,62 @@ def resolve(mentions: DataFrame, registry: DataFrame, exclusions: DataFrame, lon
     names = mentions.where(F.length("name") > 0).select("name").distinct()
     keys = mention_keys(names, barred)
     kept = keys.join(excluded, "key", "left_anti").join(synonyms, "key", "left").select("name", "per_ok", F.coalesce("long_form", "key").alias("key")).distinct()
-    index = persons.select(F.lit("PER").alias("type"), "key", "id", F.col("name").alias("entity")).union(orgs.select(F.lit("ORG"), "key", "id", "name"))
-    met = kept.join(index, "key", "left").select("name", F.when(F.col("type").isNotNull() & ((F.col("type") == "ORG") | F.col("per_ok")), F.struct("type", "key", "id", "entity")).alias("hit"))
+    index = written(persons.select(F.lit("PER").alias("type"), "key", "id", F.col("name").alias("entity")).union(orgs.select(F.lit("ORG"), "key", "id", "name")), "index")
+    # n: entities of a key; id and entity tell which if there is one
+    sizes = index.groupBy("type", "key").agg(F.count("*").alias("n"), F.min(F.struct("id", "entity")).alias("e"))
+    met = kept.join(sizes, "key", "left").select("name", F.when(F.col("type").isNotNull() & ((F.col("type") == "ORG") | F.col("per_ok")), F.struct("type", "key", "n", "e")).alias("hit"))
     # each name with its hits; a name that is not there has none of its keys left
     known = written(names.join(met.groupBy("name").agg(F.collect_set("hit").alias("hits")), "name", "left"), "names")
-    none = known.where("hits is null or size(hits) = 0").select("name", F.when(F.col("hits").isNull(), "excluded").otherwise("matchless").alias("state"))
-    idle = pages.join(none, "name").select("page", "name", "state")
-    candidates = pages.join(known.select("name", F.explode("hits").alias("h")), "name").groupBy("page", "h.type", "h.key", "h.id", "h.entity").agg(F.count("*").alias("mentions"))
-    candidates = written(candidates.withColumn("n", F.count("*").over(W.partitionBy("page", "type", "key"))), "candidates")
-    single, multi = candidates.where("n = 1"), candidates.where("n > 1")
-    cross = written(_cross(multi, single, relations(registry)), "cross")
-    noncross = multi.select("page", "type", "key").distinct().join(cross.select("page", "type", "key").distinct(), ["page", "type", "key"], "left_anti")
-    shown = ["page", "type", "key", "id", "entity"]
-    return {"excluded": idle.where("state = 'excluded'").drop("state"), "matchless": idle.where("state = 'matchless'").drop("state"), "single": single.select(*shown), "cross": cross.select(*shown), "noncross": noncross, "idle": idle}
-
-
-def _cross(multi: DataFrame, single: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Singles go through their relations to the entities of the other type and meet the multis by page and id; only
-    those of hubs, which have more than HUB relations, are compared with every multi of their page."""
-    both = pairs.select(F.lit("PER").alias("type"), F.col("per").alias("id"), F.col("org").alias("o_id")).union(pairs.select(F.lit("ORG"), "org", "per"))
-    hubs = both.groupBy("type", "id").count().where(F.col("count") > HUB).select("type", "id")
-    few, many = both.join(hubs, ["type", "id"], "left_anti"), single.join(hubs, ["type", "id"], "left_semi")
-    other = lambda rows: rows.select("page", F.when(F.col("type") == "PER", "ORG").otherwise("PER").alias("type"), "o_id", "mentions")
-    reached = other(single.join(few, ["type", "id"])).withColumnsRenamed({"o_id": "id", "mentions": "o_mentions"})
-    near = multi.join(reached, ["page", "type", "id"]).select("page", "type", "key", "id", "entity", "o_mentions")
-    beside = many.select("page", F.col("type").alias("o_type"), F.col("id").alias("h_id"), F.col("mentions").alias("o_mentions"))
-    far = multi.join(beside, "page").where("type <> o_type").join(both.toDF("o_type", "h_id", "id"), ["o_type", "h_id", "id"], "left_semi")
-    linked = near.union(far.select(*near.columns))
-    return linked.groupBy("page", "type", "key", "id", "entity").agg(F.sum("o_mentions").alias("links")).where("links = 1").drop("links")
+    parts = _Parts({})
+
+    def candidates() -> DataFrame:
+        rows = pages.join(known.select("name", F.explode("hits").alias("h")), "name")
+        return written(rows.groupBy("page", "h.type", "h.key").agg(F.count("*").alias("mentions"), F.first("h.n").alias("n"), F.first("h.e").alias("e")), "candidates")
+
+    def idle() -> DataFrame:
+        none = known.where("hits is null or size(hits) = 0").select("name", F.when(F.col("hits").isNull(), "excluded").otherwise("matchless").alias("state"))
+        return pages.join(none, "name").select("page", "name", "state")
+
+    def state(name: str) -> Callable[[], DataFrame]:
+        return lambda: parts["idle"].where(F.col("state") == name).drop("state")
+
+    def lone() -> DataFrame:
+        return parts["candidates"].where("n = 1").select("page", "type", "key", "e.id", "e.entity", "mentions")
+
+    def multi() -> DataFrame:
+        return parts["candidates"].where("n > 1").select("page", "type", "key")
+
+    def cross() -> DataFrame:
+        several = index.join(sizes.where("n > 1").select("type", "key"), ["type", "key"], "left_semi")
+        return written(_cross(multi(), lone(), several, relations(registry)), "cross")
+
+    def noncross() -> DataFrame:
+        return multi().join(parts["cross"].select("page", "type", "key").distinct(), ["page", "type", "key"], "left_anti")
+
+    single = lambda: lone().drop("mentions")
+    parts._makers |= {"candidates": candidates, "idle": idle, "excluded": state("excluded"), "matchless": state("matchless"), "single": single, "cross": cross, "noncross": noncross}
+    return parts
+
+
+def _cross(multi: DataFrame, single: DataFrame, several: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The entities of multis (page, type, key) that share a registry row with one single of the other type on their
+    page; several: type, key, id, entity of all keys with more than one.
+
+    links has, once for each single entity, the entities it is related to by their key. Singles meet the multis of their
+    page; on pages with more than HUB multis only those keys that they have links to. What they meet alone is looked up.
+    """
+    both = pairs.select(F.lit("PER").alias("o_type"), F.col("per").alias("o_id"), F.lit("ORG").alias("type"), F.col("org").alias("id"))
+    both = both.union(pairs.select(F.lit("ORG"), "org", F.lit("PER"), "per"))
+    ones = single.select(F.col("type").alias("o_type"), F.col("id").alias("o_id"))
+    links = written(both.join(ones.distinct(), ["o_type", "o_id"]).join(several, ["type", "id"]), "links")
+    beside = single.select("page", F.col("type").alias("o_type"), F.col("id").alias("o_id"), "mentions")
+    large = multi.groupBy("page").count().where(F.col("count") > HUB).select("page")
+    near = beside.join(multi.join(large, "page", "left_anti"), "page").where("type <> o_type")
+    linked = links.select("o_type", "o_id", "type", "key").distinct()
+    far = beside.join(large, "page", "left_semi").join(linked, ["o_type", "o_id"]).join(multi, ["page", "type", "key"])
+    columns = ["page", "o_type", "o_id", "mentions", "type", "key"]
+    met = near.select(*columns).union(far.select(*columns)).join(links, ["o_type", "o_id", "type", "key"])
+    return met.groupBy("page", "type", "key", "id", "entity").agg(F.sum("mentions").alias("n")).where("n = 1").drop("n")
 
 
 def outcomes(parts: dict[str, DataFrame]) -> DataFrame:
