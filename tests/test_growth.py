@@ -28,3 +28,16 @@ def test_large_pages_resolve_as_small_ones(spark, monkeypatch):
         monkeypatch.setattr(E, "HUB", hub)
         found.append(sorted(map(str, E.outcomes(E.resolve(mentions, registry, none)).collect())))
     assert found[0] == found[1] and any("'cross'" in row for row in found[0])
+
+
+def test_annotations_leave_in_small_batches(spark, monkeypatch):
+    import pyarrow as pa
+
+    from siltstone.functions.annotate import annotate, slices
+
+    parts = [p.to_pylist() for p in slices(pa.array(["abc", None, "de", "f" * 9, "g", ""]), 5)]
+    assert parts == [["abc", None, "de"], ["f" * 9], ["g", ""]]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate([None, " ", "Here is Mari Tamm", "x " * 50, "a"])], "i int, t string").coalesce(1)
+    got = {r.i: r.a for r in rows.select("i", annotate(F.col("t"), size=10).alias("a")).collect()}
+    assert [got[i].status for i in range(5)] == ["NO_TEXT", "NO_TEXT", "OK", "OK", "OK"]
+    assert got[2].names == ["Mari Tamm"] and got[2].labels == ["PER"] and got[3].tokens == ["x"] * 50 and got[0].tokens is None
