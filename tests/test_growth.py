@@ -41,3 +41,14 @@ def test_annotations_leave_in_small_batches(spark, monkeypatch):
     got = {r.i: r.a for r in rows.select("i", annotate(F.col("t"), size=10).alias("a")).collect()}
     assert [got[i].status for i in range(5)] == ["NO_TEXT", "NO_TEXT", "OK", "OK", "OK"]
     assert got[2].names == ["Mari Tamm"] and got[2].labels == ["PER"] and got[3].tokens == ["x"] * 50 and got[0].tokens is None
+
+
+def test_linked_names_are_not_held(spark):
+    registry = spark.createDataFrame([(1, "Mari", "Tamm", 9, "Firma AS", "a"), (2, "Mari", "Tamm", 8, "Firma AS", "b"), (3, "", "Tamm", 8, "Muu AS", "c")], _REGISTRY)
+    names = spark.createDataFrame([(1, "PER", "Mari Tamm"), (1, "PER", "Mari Tamm"), (2, "ORG", "Mari Tamm, Firma AS"), (3, "PER", None), (4, "LOC", "Mari Tamm"), (5, "PER", "Muu AS")], "page long, label string, entity string")
+    linked = E.simple_link(names, registry)
+    assert sorted((r.page, r.label, r.ident) for r in linked.collect()) == [(1, "PER", 1), (1, "PER", 2), (2, "ORG", 8), (2, "ORG", 9)]
+    plan = linked._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() == "Project":
+        plan = plan.children().head()
+    assert plan.nodeName() == "Join"  # nothing gathers the result's rows
