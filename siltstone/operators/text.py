@@ -21,8 +21,9 @@ def tokens(text: Column) -> Column:
 
 
 def sentences(text: Column) -> Column:
-    """Sentences end with . ! or ? before white space."""
-    return F.filter(F.transform(F.split(text, r"[.!?]+\s+"), F.trim), lambda s: F.length(s) > 0)
+    """Sentences end with . ! or ? before white space. (transform gives a function of two arguments the place as well,
+    which F.trim would take for the characters to trim.)"""
+    return F.filter(F.transform(F.split(text, r"[.!?]+\s+"), lambda s: F.trim(s)), lambda s: F.length(s) > 0)
 
 
 def paragraphs(text: Column) -> Column:

@@ -52,3 +52,10 @@ def test_linked_names_are_not_held(spark):
     while plan.nodeName() == "Project":
         plan = plan.children().head()
     assert plan.nodeName() == "Join"  # nothing gathers the result's rows
+
+
+def test_sentences_keep_their_digits(spark):
+    from siltstone.operators import text as T
+
+    row = spark.createDataFrame([("0a. 1b1. 22! 3c3",)], "t string").select(T.sentences(F.col("t")).alias("s")).first()
+    assert row.s == ["0a", "1b1", "22", "3c3"]
