@@ -92,13 +92,18 @@ def index_boosts(spark, sf):
     return n.select("url", *(F.round(c, 6).alias(k) for k, c in b.items()), F.round(G.product_of([b["index_boost"], F.nullif(F.col("inlinks").cast("double"), F.lit(0.0))]), 6).alias("boost"))
 
 
+def _thousandths(x):
+    """Rounded as DuckDB does it: the double itself times 1000, not the decimal digits that it is shown with."""
+    return F.round(x * 1000, 0) / 1000
+
+
 def _crawl(spark, sf):
     """Orders as crawl records: several of a customer's are of its one url."""
     o = table(spark, sf, "orders")
     kinds = F.element_at(F.array(*map(F.lit, (1, 2, 3, 6, 0x21, 0x22, 0x23, 0x24, 0x25, 0x26, 0x43, 0x41))), (F.col("o_orderkey") % 12 + 1).cast("int"))
     return o.select(
         F.concat(F.lit("http://h"), F.col("o_custkey") % 31, F.lit(".org/"), F.col("o_custkey")).alias("url"), kinds.cast("bigint").alias("status"), F.unix_timestamp("o_orderdate").alias("fetch_time"),
-        (F.lit(86400.0) * (F.col("o_orderkey") % 30 + 1)).alias("fetch_interval"), (F.col("o_orderkey") % 4).alias("retries"), F.round(F.col("o_totalprice") / 1000, 3).alias("score"),
+        (F.lit(86400.0) * (F.col("o_orderkey") % 30 + 1)).alias("fetch_interval"), (F.col("o_orderkey") % 4).alias("retries"), _thousandths(F.col("o_totalprice") / 1000).alias("score"),
         F.when(F.col("o_orderkey") % 5 > 0, F.md5((F.col("o_custkey") % 9).cast("string"))).alias("signature"), (F.col("o_orderkey") % 3).alias("modified"), "o_orderkey",
     )
 

@@ -59,3 +59,14 @@ def test_sentences_keep_their_digits(spark):
 
     row = spark.createDataFrame([("0a. 1b1. 22! 3c3",)], "t string").select(T.sentences(F.col("t")).alias("s")).first()
     assert row.s == ["0a", "1b1", "22", "3c3"]
+
+
+def test_scores_round_as_in_sql(spark):
+    import duckdb
+
+    from siltstone.plans import graph
+
+    prices = [258481.5, 32072.5, 130232.5, 261467.5, 259421.5, 257866.5, 60520.5, 4005.004]
+    got = spark.createDataFrame([(p,) for p in prices], "p double").select(graph._thousandths(F.col("p") / 1000).alias("s")).collect()
+    want = [duckdb.sql(f"select round({p}::double / 1000, 3)").fetchall()[0][0] for p in prices]
+    assert [r.s for r in got] == want
