@@ -117,15 +117,16 @@ def summaries(spark, sf):
 
 
 def index_assembly(spark, sf):
-    """Pages with text, data, record and fetch, and the boost of their inlinks."""
+    """Pages with text, data, record and fetch, and the boost of their inlinks; captures of one address
+    are known by their number."""
     p, h = table(spark, sf, "pages"), F.col("html")
-    text = p.select("url", F.length(P.text(h)).cast("bigint").alias("text_length"))
-    data = p.where(P.title(h) != "").select("url", P.title(h).alias("title"), F.md5("html").alias("signature"), F.concat(F.lit("s"), F.col("page_id") % 4).alias("segment"))
-    db = p.select("url", (F.col("page_id") % 6 + 1).alias("status"))
-    fetch = p.where(~F.contains("url", F.lit("ref="))).select("url", (F.col("page_id") * 10).alias("fetched"))
+    text = p.select("page_id", "url", F.length(P.text(h)).cast("bigint").alias("text_length"))
+    data = p.where(P.title(h) != "").select("page_id", P.title(h).alias("title"), F.md5("html").alias("signature"), F.concat(F.lit("s"), F.col("page_id") % 4).alias("segment"))
+    db = p.select("page_id", (F.col("page_id") % 6 + 1).alias("status"))
+    fetch = p.where(~F.contains("url", F.lit("ref="))).select("page_id", (F.col("page_id") * 10).alias("fetched"))
     inlinks = G.inlink_counts(_links(spark, sf)).select(F.col("to_url").alias("url"), "inlinks")
-    docs = X.assemble(text, data, db, fetch, inlinks)
-    return X.archive_documents(docs.drop("segment", "signature", "title"), data).select("url", "title", "segment", "signature", "status", "fetched", "inlinks", "text_length")
+    docs = X.assemble(text, data, db, fetch, inlinks, "page_id")
+    return X.archive_documents(docs.drop("segment", "signature", "title"), data, "page_id").select("url", "title", "segment", "signature", "status", "fetched", "inlinks", "text_length")
 
 
 def custom_fields(spark, sf):

@@ -70,3 +70,29 @@ def test_scores_round_as_in_sql(spark):
     got = spark.createDataFrame([(p,) for p in prices], "p double").select(graph._thousandths(F.col("p") / 1000).alias("s")).collect()
     want = [duckdb.sql(f"select round({p}::double / 1000, 3)").fetchall()[0][0] for p in prices]
     assert [r.s for r in got] == want
+
+
+def _twice(spark, tmp_path):
+    """Pages of which two pairs have one address."""
+    page = "<html><head><title>T {0}</title></head><body>a {0} <a href='/b'>x</a></body></html>"
+    rows = [(i, f"http://a.example.org/{u}", page.format(i)) for i, u in enumerate(("a", "b", "a", "c", "d", "b", "e"))]
+    spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    return str(tmp_path)
+
+
+def _sql(name, folder):
+    import duckdb
+
+    from siltstone import catalog
+
+    with duckdb.connect() as con:
+        con.execute(f"create view pages as select * from '{folder}/pages.parquet/*.parquet'")
+        return con.execute(catalog.oracle_sql()[name]).fetchall()
+
+
+def test_assembly_of_repeated_addresses(spark, tmp_path):
+    from siltstone import catalog
+
+    folder = _twice(spark, tmp_path)
+    got = catalog.queries()["index_assembly"](spark, folder).collect()
+    assert sorted(map(tuple, got)) == sorted(_sql("index_assembly", folder))
