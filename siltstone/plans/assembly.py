@@ -31,10 +31,10 @@ def basic_fields(spark, sf):
     """Pages under the address that stands for them: every third page flips to its host's root."""
     p = _pages(spark, sf)
     root = F.concat(U.part(F.col("url"), "scheme"), F.lit("://"), U.host(F.col("url")), F.lit("/"))
-    fetches = p.select("url", F.lit(1).alias("fetch_time"), F.lit("s1").alias("segment")).union(p.where("page_id % 2 = 0").select("url", F.lit(2), F.lit("s2")))
-    nodes = p.select("url", (F.col("page_id") % 17).cast("double").alias("score"))
-    flips = p.where("page_id % 3 = 0").select(F.col("url").alias("orig_url"), root.alias("url"))
-    return D.basic_fields(p.select("url", F.concat(F.lit("t"), F.col("page_id")).alias("title")), nodes, fetches, flips)
+    fetches = p.select("page_id", F.lit(1).alias("fetch_time"), F.lit("s1").alias("segment")).union(p.where("page_id % 2 = 0").select("page_id", F.lit(2), F.lit("s2")))
+    nodes = p.select("page_id", "url", (F.col("page_id") % 17).cast("double").alias("score"))
+    flips = p.where("page_id % 3 = 0").select("page_id", root.alias("url"))
+    return D.basic_fields(p.select("page_id", "url", F.concat(F.lit("t"), F.col("page_id")).alias("title")), nodes, fetches, flips, "page_id")
 
 
 def date_backfill(spark, sf):

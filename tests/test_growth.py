@@ -96,3 +96,16 @@ def test_assembly_of_repeated_addresses(spark, tmp_path):
     folder = _twice(spark, tmp_path)
     got = catalog.queries()["index_assembly"](spark, folder).collect()
     assert sorted(map(tuple, got)) == sorted(_sql("index_assembly", folder))
+
+
+def test_fields_of_repeated_addresses(spark, tmp_path):
+    from siltstone import catalog
+
+    folder = _twice(spark, tmp_path)
+    got = {r.url: tuple(r) for r in catalog.queries()["basic_fields"](spark, folder).collect()}
+    want = {r[0]: r for r in _sql("basic_fields", folder)}
+    assert got.keys() == want.keys()
+    at = "http://a.example.org/"
+    # a is the address of 0, which flips, and 2; b that of 1 and 5, of which the SQL's order leaves either: the larger score of its own
+    assert got[at + "a"] == want[at + "a"] == (at + "a", at + "a", "t2", "s2", 2.0)
+    assert got[at + "b"] == (at + "b", at + "b", "t5", "s1", 5.0) and want[at + "b"][4] == 5.0
