@@ -51,9 +51,9 @@ def node_lookup(spark, sf):
 
 
 def fetch_order(spark, sf):
-    """Every page with its place in its host's order, which only a hash decides."""
+    """Every page with its place in its host's order, which only a hash decides; captures of one address by number."""
     p = table(spark, sf, "pages").select("page_id", "url", U.host(F.col("url")).alias("host"))
-    spread = X.by_host(p, F.col("host"), 8).withColumn("n", F.row_number().over(W.partitionBy("host").orderBy(F.md5("url"))))
+    spread = X.by_host(p, F.col("host"), 8).withColumn("n", F.row_number().over(W.partitionBy("host").orderBy(F.md5("url"), "page_id")))
     return spread.select("page_id", "host", F.col("n").cast("bigint").alias("n"))
 
 

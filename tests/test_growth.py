@@ -109,3 +109,12 @@ def test_fields_of_repeated_addresses(spark, tmp_path):
     # a is the address of 0, which flips, and 2; b that of 1 and 5, of which the SQL's order leaves either: the larger score of its own
     assert got[at + "a"] == want[at + "a"] == (at + "a", at + "a", "t2", "s2", 2.0)
     assert got[at + "b"] == (at + "b", at + "b", "t5", "s1", 5.0) and want[at + "b"][4] == 5.0
+
+
+def test_order_of_repeated_addresses(spark, tmp_path):
+    from siltstone import catalog
+
+    folder = _twice(spark, tmp_path)
+    spark.read.parquet(f"{folder}/pages.parquet").orderBy(F.desc("page_id")).coalesce(1).write.parquet(f"{tmp_path}/turned/pages.parquet")
+    found = [sorted(map(tuple, catalog.queries()["fetch_order"](spark, f).collect())) for f in (folder, f"{tmp_path}/turned")]
+    assert found[0] == found[1]
