@@ -95,9 +95,21 @@ def parse_annotations(lines: DataFrame) -> DataFrame:
     return found.select("page", F.explode("z").alias("e")).select("page", F.col("e.l").alias("label"), F.col("e.n").alias("entity"))
 
 
+def _full_years(header: Column) -> list[Column]:
+    """Of a header whose year has two digits, the times in each century of 1970 to 2369, of which the weekday fits one at most."""
+    part = lambda i: F.regexp_extract(header, r"^([A-Z][a-z]{2})[a-z]*, (\d{2}-[A-Za-z]{3}-)(\d{2})( .*)$", i)
+    found = []
+    for k in range(4):
+        day = F.concat(part(2), (F.lit(19 + k) + (part(3) < "70").cast("int")).cast("string"), part(3))
+        fits = F.date_format(F.try_to_timestamp(day, F.lit("dd-MMM-yyyy")), "EEE") == part(1)
+        found.append(F.when(fits, F.try_to_timestamp(F.concat(day, part(4)), F.lit("dd-MMM-yyyy HH:mm:ss z"))))
+    return found
+
+
 def last_modified(header: Column) -> Column:
-    """The first format that fits; null if none does."""
-    return F.coalesce(*(F.try_to_timestamp(F.regexp_replace(header, "^[A-Za-z]{3,}day, |^[A-Z][a-z]{2},? (?=[0-9A-Z])", ""), F.lit(f)) for f in DATE_FORMATS))
+    """The first format that fits; null if none does. Years of two digits are those of 1970 to 2369 whose weekday the
+    header says; without a weekday that fits they are from 2000 on."""
+    return F.coalesce(*_full_years(header), *(F.try_to_timestamp(F.regexp_replace(header, "^[A-Za-z]{3,}day, |^[A-Z][a-z]{2},? (?=[0-9A-Z])", ""), F.lit(f)) for f in DATE_FORMATS))
 
 
 def write_new(rows: DataFrame, path: str, single: bool = False, max_records: int = 0) -> None:

@@ -118,3 +118,11 @@ def test_order_of_repeated_addresses(spark, tmp_path):
     spark.read.parquet(f"{folder}/pages.parquet").orderBy(F.desc("page_id")).coalesce(1).write.parquet(f"{tmp_path}/turned/pages.parquet")
     found = [sorted(map(tuple, catalog.queries()["fetch_order"](spark, f).collect())) for f in (folder, f"{tmp_path}/turned")]
     assert found[0] == found[1]
+
+
+def test_centuries_by_weekday(spark):
+    from siltstone.sources import files
+
+    headers = {"Saturday, 02-Jan-16 03:04:05 GMT": "2016-01-02", "Friday, 07-Mar-17 00:00:00 GMT": "2217-03-07", "Friday, 01-Jan-00 00:00:00 GMT": "2100-01-01", "Sunday, 06-Nov-94 08:49:37 GMT": "1994-11-06", "Tuesday, 29-Feb-00 00:00:00 GMT": "2000-02-29", "Monday, 02-Jan-16 03:04:05 GMT": "2016-01-02"}
+    rows = spark.createDataFrame([(h,) for h in headers], "h string").select("h", F.date_format(files.last_modified(F.col("h")), "yyyy-MM-dd").alias("d")).collect()
+    assert {r.h: r.d for r in rows} == headers
