@@ -126,3 +126,22 @@ def test_centuries_by_weekday(spark):
     headers = {"Saturday, 02-Jan-16 03:04:05 GMT": "2016-01-02", "Friday, 07-Mar-17 00:00:00 GMT": "2217-03-07", "Friday, 01-Jan-00 00:00:00 GMT": "2100-01-01", "Sunday, 06-Nov-94 08:49:37 GMT": "1994-11-06", "Tuesday, 29-Feb-00 00:00:00 GMT": "2000-02-29", "Monday, 02-Jan-16 03:04:05 GMT": "2016-01-02"}
     rows = spark.createDataFrame([(h,) for h in headers], "h string").select("h", F.date_format(files.last_modified(F.col("h")), "yyyy-MM-dd").alias("d")).collect()
     assert {r.h: r.d for r in rows} == headers
+
+
+def test_indexes_by_name(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(1, "Mari", "Tamm", 9, "Firma AS", "a" * 32), (1, "Mari", "Tamm", 9, "Firma AS", "a" * 32), (1, "Mari", "Tamm", 8, "'Mari' TAMM", "b" * 32), (2, "OÜ", "Tere", 7, "oü tere", "x"), (2, "OÜ", "Tere", 7, "Tere OÜ", "y"), (3, "", "Tamm", 7, "Tere OÜ", "z")]
+    registry = spark.createDataFrame(rows, _REGISTRY)
+    assert sorted(map(tuple, E.person_index(registry).collect())) == [("mari tamm", 1, "Mari Tamm", 2), ("oü tere", 2, "OÜ Tere", 2)]
+    assert sorted(map(tuple, E.org_index(registry).collect())) == [("as firma", 9, "Firma AS", 1), ("oü tere", 7, "Tere OÜ", 2)]
+    names = spark.createDataFrame([(5, "mari tamm"), (6, "mari tamm"), (6, "no one")], "page long, key string")
+    known = E.known_relations(names, E.person_relations(registry), F.size("relations"))
+    assert sorted(map(tuple, known.collect())) == [(5, "mari tamm", 1, 2), (6, "mari tamm", 1, 2)]
+    assert "collect_set" not in known._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_names_are_normalised_once_for_each_entity(spark):
+    registry = spark.createDataFrame([(1, "Mari", "Tamm", 9, "Firma AS", "a")], _REGISTRY)
+    plan = E.person_index(registry)._jdf.queryExecution().optimizedPlan()
+    assert plan.nodeName() == "Aggregate" and "transform" not in plan.children().head().toString()
