@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.urls import let
+from ..tables import written
 
 #: Letters or digits with _ and &, dotted acronyms, c++ and c#, single ideographs.
 TOKEN = r"(?:\p{L}\.){2,}|[cC](?:\+\+|#)|[\p{L}\p{N}_&]+"
@@ -66,31 +71,86 @@ def term_frequencies(docs: DataFrame, least: int = 1) -> DataFrame:
     return docs.select("doc_id", F.explode(F.array_distinct(tokens(F.col("text")))).alias("term")).groupBy("term").agg(F.count("*").alias("docs")).where(F.col("docs") >= least)
 
 
+def letter_runs(text: Column) -> Column:
+    """The lower-cased runs of letters of a text."""
+    return F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}+"), F.lit(0))
+
+
 def ngrams(text: Column, n: int = 3) -> Column:
     """N-grams of the letter runs of a text, each run between underscores."""
-    words = F.transform(F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}+"), F.lit(0)), lambda w: F.concat(F.lit("_"), w, F.lit("_")))
+    words = F.transform(letter_runs(text), lambda w: F.concat(F.lit("_"), w, F.lit("_")))
     return F.flatten(F.transform(words, lambda w: F.transform(F.sequence(F.lit(1), F.greatest(F.length(w) - n + 1, F.lit(1))), lambda i: F.substring(w, i, n))))
 
 
 def language_profiles(docs: DataFrame, n: int = 3, top: int = 1000) -> DataFrame:
-    """Lang, gram, freq: the most frequent n-grams of each language's texts, shares of all its n-grams."""
-    grams = docs.select("lang", F.explode(ngrams(F.col("text"), n)).alias("gram")).groupBy("lang", "gram").agg(F.count("*").alias("c"))
+    """Lang, gram, freq: the most frequent n-grams of each language's texts, shares of all its n-grams.
+
+    Words are counted first, so that each different one is cut once."""
+    words = docs.select("lang", F.explode(letter_runs(F.col("text"))).alias("w")).groupBy("lang", "w").agg(F.count("*").alias("k"))
+    grams = words.select("lang", "k", F.explode(ngrams(F.col("w"), n)).alias("gram")).groupBy("lang", "gram").agg(F.sum("k").alias("c"))
     share = grams.withColumn("freq", F.col("c") / F.sum("c").over(W.partitionBy("lang")))
     return share.withColumn("r", F.row_number().over(W.partitionBy("lang").orderBy(F.desc("c"), "gram"))).where(F.col("r") <= top).select("lang", "gram", "freq")
 
 
+def _scores(rows: list[tuple[str, int, float]], langs: list[str], n: int):
+    """From the letter runs of texts, a row for each text and language that share an n-gram; rows: n-gram, place of its
+    language, frequency."""
+    place = {gram: i for i, gram in enumerate({r[0] for r in rows})}
+    of_gram, of_lang, freq = np.array([place[r[0]] for r in rows], np.int64), np.array([r[1] for r in rows], np.int64), np.array([r[2] for r in rows])
+
+    def cut(word: str) -> tuple[int, list[int]]:
+        w = f"_{word}_"
+        grams = [w[i : i + n] for i in range(max(len(w) - n + 1, 1))]
+        return len(grams), [place[g] for g in grams if g in place]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cuts: dict[str, tuple[int, list[int]]] = {}  # of words met before; only to save time
+        for batch in batches:
+            ids, of, score = [], [], []
+            for k, words in enumerate(batch.column(1)):
+                total, met = 0, []
+                for word in words.values.to_pylist():
+                    found = cuts.get(word)
+                    if found is None:
+                        found = cut(word)
+                        if len(cuts) < 100_000:
+                            cuts[word] = found
+                    total += found[0]
+                    met += found[1]
+                if not met:
+                    continue
+                counts = np.bincount(np.array(met, np.int64), minlength=len(place))[of_gram]
+                shared = counts > 0
+                sums = np.bincount(of_lang[shared], counts[shared] / total + freq[shared], minlength=len(langs))
+                for lang in np.flatnonzero(np.bincount(of_lang[shared], minlength=len(langs))).tolist():
+                    ids.append(k)
+                    of.append(langs[lang])
+                    score.append(float(sums[lang]))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(ids, pa.int32())), pa.array(of, pa.string()), pa.array(score, pa.float64())], ["doc_id", "lang", "part"])
+
+    return run
+
+
 def identify(docs: DataFrame, profiles: DataFrame, n: int = 3, broadcast_rows: int = 200_000) -> DataFrame:
     """L2: doc_id, guess: the language whose shared n-grams have the largest sum of both frequencies; ties: first by name.
 
-    A text's n-grams are sorted within its row and carry their text's total, so that they meet the profiles on the map
-    side (broadcast if their rows are at most `broadcast_rows`, some 60 bytes each) and only a row for each text and
-    language is shuffled. Null texts and texts without letters have no row; rows of one id add up.
+    Profiles of at most `broadcast_rows` rows (some 60 bytes each) go to every task, which counts a text's n-grams in memory
+    and gives a row for each language; larger ones meet the n-grams of the texts by a join. Null texts and texts without
+    letters have no row; rows of one id add up.
     """
-    grams = docs.where("text is not null").select("doc_id", F.array_sort(ngrams(F.col("text"), n)).alias("g"))
-    each = F.transform("g", lambda x, i: F.struct(x.alias("gram"), ((i == 0) | (x != F.get("g", F.greatest(i - 1, F.lit(0))))).alias("first")))
-    rows = grams.select("doc_id", (1 / F.size("g")).alias("own"), F.explode(each).alias("x")).select("doc_id", "own", "x.gram", "x.first")
-    known = F.broadcast(profiles) if profiles.count() <= broadcast_rows else profiles
-    score = rows.join(known, "gram").groupBy("doc_id", "lang").agg(F.round(F.sum(F.col("own") + F.when(F.col("first"), F.col("freq")).otherwise(0.0)), 9).alias("score"))
+    profiles = written(profiles, "profiles")  # read twice
+    source = docs.where("text is not null")
+    if profiles.count() <= broadcast_rows:
+        rows = profiles.where("lang is not null").collect()
+        langs = sorted({r["lang"] for r in rows})
+        known = [(r["gram"], langs.index(r["lang"]), r["freq"]) for r in rows]
+        parts = source.select("doc_id", letter_runs(F.col("text")).alias("words")).mapInArrow(_scores(known, langs, n), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, lang string, part double")
+    else:
+        grams = source.select("doc_id", F.array_sort(ngrams(F.col("text"), n)).alias("g"))
+        each = F.transform("g", lambda x, i: F.struct(x.alias("gram"), ((i == 0) | (x != F.get("g", F.greatest(i - 1, F.lit(0))))).alias("first")))
+        rows = grams.select("doc_id", (1 / F.size("g")).alias("own"), F.explode(each).alias("x")).select("doc_id", "own", "x.gram", "x.first")
+        parts = rows.join(profiles, "gram").select("doc_id", "lang", (F.col("own") + F.when(F.col("first"), F.col("freq")).otherwise(0.0)).alias("part"))
+    score = parts.groupBy("doc_id", "lang").agg(F.round(F.sum("part"), 9).alias("score"))
     best = score.groupBy("doc_id").agg(F.min(F.struct((-F.col("score")).alias("s"), "lang")).alias("b"))
     return best.select("doc_id", F.col("b.lang").alias("guess"), (-F.col("b.s")).alias("score"))
 

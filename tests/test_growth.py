@@ -145,3 +145,15 @@ def test_names_are_normalised_once_for_each_entity(spark):
     registry = spark.createDataFrame([(1, "Mari", "Tamm", 9, "Firma AS", "a")], _REGISTRY)
     plan = E.person_index(registry)._jdf.queryExecution().optimizedPlan()
     assert plan.nodeName() == "Aggregate" and "transform" not in plan.children().head().toString()
+
+
+def test_languages_by_either_way(spark):
+    from siltstone.operators import text as T
+
+    texts = [(1, "en", "The cat and the dog"), (2, "de", "Der Hund und die Katze"), (3, "en", None), (4, "de", "12 34"), (5, "de", "und der"), (1, "en", "the end"), (6, "fr", "\u0130 \u03a3\u039f\u03a3 \u00e9t\u00e9 und")]
+    docs = spark.createDataFrame(texts, "doc_id long, lang string, text string")
+    profiles = T.language_profiles(docs, top=40)
+    quick, joined = (sorted(map(tuple, T.identify(docs, profiles, broadcast_rows=n).collect())) for n in (10_000, 0))
+    assert [(i, g, round(s, 8)) for i, g, s in quick] == [(i, g, round(s, 8)) for i, g, s in joined] and {i for i, _, _ in quick} == {1, 2, 5, 6}
+    quick = T.identify(docs, profiles)._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in quick and "array_sort" not in quick  # n-grams of a text are neither sorted nor exploded
