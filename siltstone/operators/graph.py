@@ -40,20 +40,22 @@ def distinct_anchors(links: DataFrame) -> DataFrame:
 def web_graph(links: DataFrame, ignore_internal_host: bool = True, ignore_internal_domain: bool = False, limit_page: bool = True, limit_domain: bool = True) -> DataFrame:
     """Outlinks of each page's latest fetch; one link by target page and by target domain, the first in order.
 
-    links: from_url, to_url, anchor, ts.
+    links: from_url, to_url, anchor, ts (a number or timestamp). One aggregation finds each group's first link of its latest
+    time, and that time; only those rows, a few for each page, are compared with the page's latest fetch. Partial results are
+    made where the links are read.
     """
-    latest = links.withColumn("_last", F.max("ts").over(W.partitionBy("from_url"))).where("ts = _last").drop("_last")
-    out = latest.where("from_url <> to_url")
+    counts = F.col("ts").isNotNull() & (F.col("from_url") != F.col("to_url"))
     if ignore_internal_host:
-        out = out.where(host(F.col("from_url")) != host(F.col("to_url")))
+        counts &= host(F.col("from_url")) != host(F.col("to_url"))
     if ignore_internal_domain:
-        out = out.where(domain(F.col("from_url")) != domain(F.col("to_url")))
-    order = ["to_url", "anchor"]
-    if limit_page or not limit_domain:
-        out = out.withColumn("_n", F.row_number().over(W.partitionBy("from_url", "to_url").orderBy(*order))).where("_n = 1").drop("_n")
-    if limit_domain:
-        out = out.withColumn("_n", F.row_number().over(W.partitionBy("from_url", domain(F.col("to_url"))).orderBy(*order))).where("_n = 1").drop("_n")
-    return out
+        counts &= domain(F.col("from_url")) != domain(F.col("to_url"))
+    time = F.unix_micros("ts") if links.schema["ts"].dataType.typeName() == "timestamp" else F.col("ts")
+    rest = [c for c in links.columns if c not in ("from_url", "to_url", "anchor", "ts")]
+    row = F.struct((-time).alias("_t"), "to_url", "anchor", "ts", *rest)
+    group = domain(F.col("to_url")) if limit_domain else F.col("to_url")  # the first of a domain is the first of its page
+    best = links.groupBy("from_url", group.alias("_g")).agg(F.max("ts").alias("_m"), F.min(F.when(counts, row)).alias("_r"))
+    last = best.withColumn("_last", F.max("_m").over(W.partitionBy("from_url"))).where("_r is not null and _r.ts = _last")
+    return last.select(*(F.col(c) if c == "from_url" else F.col("_r")[c].alias(c) for c in links.columns))
 
 
 def nodes(edges: DataFrame) -> DataFrame:
@@ -81,29 +83,29 @@ def loops(edges: DataFrame) -> DataFrame:
 
 def once_for_each_source(edges: DataFrame, limit_page: bool = True, limit_domain: bool = True) -> DataFrame:
     """Of each target's inlinks one from a source page (address without query) and one from a source domain; the first
-    by address. The page goes first, as all links of a page are of one domain."""
-    out = edges
-    keys = [page(F.col("from_url"))] * limit_page + [domain(F.col("from_url"))] * limit_domain
-    for key in keys:
-        out = out.groupBy("to_url", key.alias("_k")).agg(F.min("from_url").alias("from_url")).select("from_url", "to_url")
-    return out
+    by address. A domain's first is the first of one of its pages, so with both limits the domain's one does for both."""
+    if not (limit_page or limit_domain):
+        return edges
+    key = domain(F.col("from_url")) if limit_domain else page(F.col("from_url"))
+    return edges.groupBy("to_url", key.alias("_k")).agg(F.min("from_url").alias("from_url")).select("from_url", "to_url")
 
 
 def link_rank(edges: DataFrame, iterations: int = 10, damping: float = 0.85, skip: DataFrame | None = None, checkpoint_every: int = 5, limit_page: bool = False, limit_domain: bool = False) -> DataFrame:
     """Url, rank after so many rounds of rank = (1 - d) + d * (1 / N + sum of rank / outdegree over inlinks).
 
-    skip: loop pairs (url, other) whose edges do not count (J16). limit_page, limit_domain: see once_for_each_source. Edges
-    carry their source's outdegree and are written once; each round joins the ranks, which are as many as nodes, and sums
+    skip: loop pairs (url, other) whose edges do not count (J16). limit_page, limit_domain: see once_for_each_source. Links
+    are made distinct once and written; what else is needed of them is read from there. Edges carry their source's outdegree and are written once; each round joins the ranks, which are as many as nodes, and sums
     by target. Ranks are written to the shared folder every few rounds, which cuts the lineage.
     """
-    e = edges.select("from_url", "to_url").distinct()
+    every = written(edges.select("from_url", "to_url").distinct(), "links")
+    e = every
     if skip is not None:
         e = e.join(skip.select(F.col("url").alias("from_url"), F.col("other").alias("to_url")), ["from_url", "to_url"], "left_anti")
-    urls = edges.select(F.col("from_url").alias("url")).union(edges.select("to_url")).distinct()
+    urls = written(every.select(F.col("from_url").alias("url")).distinct().union(every.select("to_url").distinct()).distinct(), "urls")
     degree = e.groupBy("from_url").agg(F.count("*").alias("degree"))
     if limit_page or limit_domain:  # a page still gives its rank to all its links
         e = once_for_each_source(e, limit_page, limit_domain)
-    weighted = written(e.join(degree, "from_url").repartition("from_url"), "edges")
+    weighted = written(e.join(degree, "from_url"), "edges")
     # the joined side is one row, the number of nodes
     ranks = urls.crossJoin(F.broadcast(urls.agg(F.count("*").alias("n")))).withColumn("rank", F.lit(1.0))
     for i in range(1, iterations + 1):

@@ -12,7 +12,7 @@ from ..operators import entities as E
 from ..operators import graph as G
 from ..operators import indexing as D
 from ..operators import web as P
-from ..tables import table
+from ..tables import table, written
 from . import inputs as I
 from .entities import _NAMES, _REGISTRY, _RESOLVE, _norm, _parts
 from .graph import _G, _NODES, _graph
@@ -112,7 +112,7 @@ def inlinks_once(spark, sf):
 
 def link_rank_limited(spark, sf):
     """Two rounds of link rank without the links of loops of two, an inlink counted once for each source domain."""
-    g = _graph(spark, sf)
+    g = written(_graph(spark, sf), "graph")  # read three times
     two = g.select(F.col("from_url").alias("url"), F.col("to_url").alias("other")).intersect(g.select("to_url", "from_url")).where("url <> other")
     return G.link_rank(g, iterations=2, skip=two, limit_page=True, limit_domain=True).select("url", F.round("rank", 6).alias("rank"))
 

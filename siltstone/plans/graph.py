@@ -12,7 +12,7 @@ from ..functions import urls as U
 from ..operators import crawl as C
 from ..operators import graph as G
 from ..operators import web as P
-from ..tables import table
+from ..tables import table, written
 from .web import _LINKS
 
 
@@ -66,12 +66,12 @@ def link_rank(spark, sf):
 
 
 def link_dump(spark, sf):
-    g = _graph(spark, sf)
+    g = written(_graph(spark, sf), "graph")  # read twice
     return G.link_dump(g, G.link_rank(g, 1).select("url", F.round("rank", 6).alias("rank"))).select("to_url", "from_url", "rank", F.col("place").cast("bigint").alias("place"))
 
 
 def top_anchors(spark, sf):
-    g = _graph(spark, sf)
+    g = written(_graph(spark, sf), "graph")  # read three times
     ranks = G.link_rank(g, 1).select("url", F.round("rank", 6).alias("rank"))
     return G.top_anchors(g.select(F.col("from_url").alias("url")), g, ranks).select("url", "anchor", "from_url", F.col("place").cast("bigint").alias("place"))
 

@@ -157,3 +157,39 @@ def test_languages_by_either_way(spark):
     assert [(i, g, round(s, 8)) for i, g, s in quick] == [(i, g, round(s, 8)) for i, g, s in joined] and {i for i, _, _ in quick} == {1, 2, 5, 6}
     quick = T.identify(docs, profiles)._jdf.queryExecution().optimizedPlan().toString()
     assert "MapInArrow" in quick and "array_sort" not in quick  # n-grams of a text are neither sorted nor exploded
+
+
+def test_web_graph_by_hand(spark):
+    from siltstone.operators import graph as G
+
+    dice = random.Random(5)
+    address = lambda: f"http://h{dice.randrange(3)}.d{dice.randrange(3)}.com/{dice.randrange(3)}"
+    links = list({(address(), address(), f"a{dice.randrange(3)}", dice.randrange(3)) for _ in range(150)}) + [("http://h0.d0.com/0", "http://h1.d1.com/0", "a", None)]
+    frame = spark.createDataFrame(links, "from_url string, to_url string, anchor string, ts long")
+    host = lambda u: u.split("/")[2]
+    domain = lambda u: host(u).split(".", 1)[1]
+    last = {}
+    for a, _, _, t in links:
+        last[a] = max(last.get(a, -1), -1 if t is None else t)
+    for internal in (False, True):
+        for by in (False, True):
+            want = {}
+            for a, b, n, t in sorted((x for x in links if x[3] is not None), key=lambda x: x[1:3]):
+                if t == last[a] and a != b and not (internal and host(a) == host(b)):
+                    want.setdefault((a, domain(b) if by else b), (a, b, n, t))
+            got = G.web_graph(frame, ignore_internal_host=internal, limit_domain=by)
+            assert sorted(map(tuple, got.collect())) == sorted(want.values())
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" in plan[plan.index("Window") :]  # windows see a row of each group, not every link
+
+
+def test_links_are_gathered_once(spark, monkeypatch):
+    from siltstone.operators import graph as G
+
+    once = G.once_for_each_source(spark.createDataFrame([("http://a.b.com/1?x", "t"), ("http://a.b.com/1?a", "t"), ("http://c.b.com/0", "t")], "from_url string, to_url string"))
+    assert [tuple(r) for r in once.collect()] == [("http://a.b.com/1?a", "t")]
+    assert once._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 1
+    kept, written = [], G.written
+    monkeypatch.setattr(G, "written", lambda df, what, *by: kept.append(what) or written(df, what, *by))
+    ranks = {r.url: r["rank"] for r in G.link_rank(spark.createDataFrame([("a", "b"), ("a", "b"), ("a", "c"), ("b", "c")], "from_url string, to_url string"), 1).collect()}
+    assert kept[0] == "links" and ranks == pytest.approx({"a": 0.15 + 0.85 / 3, "b": 0.15 + 0.85 * (1 / 3 + 0.5), "c": 0.15 + 0.85 * (1 / 3 + 1.5)})
