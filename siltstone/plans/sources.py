@@ -91,9 +91,9 @@ def table_sink(spark, sf):
         refused = False
     except Exception as error:
         refused = "exist" in str(error).lower()
-    held = spark.read.parquet(path)
-    most = held.groupBy(F.input_file_name().alias("f")).agg(F.count("*").alias("n")).agg(F.max("n").alias("most"))
-    return held.agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("keys")).join(F.broadcast(most)).select("n", "keys", (F.col("most") <= 100).alias("bounded"), F.lit(refused).alias("refused"))
+    held = spark.read.schema(orders.schema).parquet(path)  # each file is opened once
+    files = held.groupBy(F.input_file_name().alias("f")).agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("keys"))
+    return files.agg(F.sum("n").alias("n"), F.sum("keys").alias("keys"), F.max("n").alias("most")).select(F.coalesce("n", F.lit(0)).alias("n"), "keys", (F.col("most") <= 100).alias("bounded"), F.lit(refused).alias("refused"))
 
 
 def crawl_dump(spark, sf):

@@ -113,8 +113,15 @@ def last_modified(header: Column) -> Column:
 
 
 def write_new(rows: DataFrame, path: str, single: bool = False, max_records: int = 0) -> None:
-    """Parquet into a new folder, an existing one is an error; a single file only if asked for."""
-    rows = rows.coalesce(1) if single else rows
+    """Parquet into a new folder, an existing one is an error; a single file only if asked for.
+
+    Files of few rows take longer to open than to fill, so with max_records rows are dealt to all cores first, however few
+    splits they come from."""
+    spark = rows.sparkSession
+    if single:
+        rows = rows.coalesce(1)
+    elif max_records:
+        rows = rows.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     rows.write.mode("errorifexists").option("maxRecordsPerFile", max_records).parquet(path)
 
 

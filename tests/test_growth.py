@@ -193,3 +193,13 @@ def test_links_are_gathered_once(spark, monkeypatch):
     monkeypatch.setattr(G, "written", lambda df, what, *by: kept.append(what) or written(df, what, *by))
     ranks = {r.url: r["rank"] for r in G.link_rank(spark.createDataFrame([("a", "b"), ("a", "b"), ("a", "c"), ("b", "c")], "from_url string, to_url string"), 1).collect()}
     assert kept[0] == "links" and ranks == pytest.approx({"a": 0.15 + 0.85 / 3, "b": 0.15 + 0.85 * (1 / 3 + 0.5), "c": 0.15 + 0.85 * (1 / 3 + 1.5)})
+
+
+def test_bounded_files_are_written_by_all_cores(spark, tmp_path):
+    from siltstone.sources import files
+
+    files.write_new(spark.range(1000).coalesce(1), str(tmp_path / "t"), max_records=100)
+    held = spark.read.parquet(str(tmp_path / "t"))
+    sizes = [r["n"] for r in held.groupBy(F.input_file_name().alias("f")).agg(F.count("*").alias("n")).collect()]
+    tasks = {name.name.split("-")[1] for name in (tmp_path / "t").glob("part-*")}
+    assert sum(sizes) == 1000 and max(sizes) <= 100 and len(tasks) == 4
