@@ -61,12 +61,12 @@ def canonical(clauses: list[Clause]) -> str:
 def postings(docs: DataFrame, fields: dict[str, Column], parts: int = 16, salts: int = 8) -> DataFrame:
     """part, doc_id, field, term, positions, length: a row for each term of a field, with all its places and the field's length.
 
-    One shuffle, by part (a hash of the term) and a salt of the document, so that a frequent term is no hot key; written
+    A document's fields are read in one pass. One shuffle, by part (a hash of the term) and a salt of the document, so that a frequent term is no hot key; written
     with partitionBy("part"), a search reads the parts of its terms only. A null field has no postings; a repeated
     document's places are counted once.
     """
-    each = [docs.select("doc_id", F.lit(f).alias("field"), tokens(c).alias("t")) for f, c in fields.items()]
-    rows = reduce(DataFrame.unionByName, each).select("doc_id", "field", F.size("t").alias("length"), F.posexplode("t").alias("pos", "term"))
+    each = F.array(*(F.struct(F.lit(f).alias("field"), c.alias("text")) for f, c in fields.items()))
+    rows = docs.select("doc_id", F.explode(each).alias("f")).select("doc_id", "f.field", tokens(F.col("f.text")).alias("t")).select("doc_id", "field", F.size("t").alias("length"), F.posexplode("t").alias("pos", "term"))
     rows = rows.withColumn("part", _part(F.col("term"), parts)).withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)))
     found = rows.repartition("part", "salt").groupBy("part", "salt", "doc_id", "field", "term").agg(F.array_sort(F.collect_set("pos")).alias("positions"), F.max("length").alias("length"))
     return found.select("part", "doc_id", "field", "term", "positions", "length")

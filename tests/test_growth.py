@@ -203,3 +203,13 @@ def test_bounded_files_are_written_by_all_cores(spark, tmp_path):
     sizes = [r["n"] for r in held.groupBy(F.input_file_name().alias("f")).agg(F.count("*").alias("n")).collect()]
     tasks = {name.name.split("-")[1] for name in (tmp_path / "t").glob("part-*")}
     assert sum(sizes) == 1000 and max(sizes) <= 100 and len(tasks) == 4
+
+
+def test_fields_are_read_in_one_pass(spark):
+    from siltstone.operators import search as S
+
+    docs = spark.createDataFrame([(1, "a b a", None), (1, "a b a", "x"), (2, "", "b")], "doc_id long, t string, u string")
+    index = S.postings(docs, {"content": F.col("t"), "title": F.col("u")})
+    got = sorted((r.doc_id, r.field, r.term, r.positions, r.length) for r in index.collect())
+    assert got == [(1, "content", "a", [0, 2], 3), (1, "content", "b", [1], 3), (1, "title", "x", [0], 1), (2, "title", "b", [0], 1)]
+    assert "Union" not in index._jdf.queryExecution().optimizedPlan().toString()
